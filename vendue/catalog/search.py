@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from vendue.checks.tables import with_views
 from vendue.plans import search_best as sb
 from vendue.plans import search_model as sm
-from vendue.plans.best_rank import floor_zero
 from vendue.views import EVENTS_AS_OF, ORDERS_AS_OF, Shop
 
 SINCE = date(1995, 1, 1)
