@@ -50,7 +50,7 @@ def brand_rules(shop: Shop, by_first: bool = False):
 def rule_view(rules):
     return rules.select(
         "antecedent", F.concat_ws(",", "consequent").alias("consequent"),
-        *[F.round(c, 6).alias(c) for c in ("support", "confidence", "lift", "conviction")])
+        "support", "confidence", "lift", "conviction")
 
 
 def item_rules(shop: Shop):
@@ -58,8 +58,7 @@ def item_rules(shop: Shop):
 
 
 def rule_figures(rules):
-    return rules.select("antecedent", "consequent",
-                        *[F.round(c, 6).alias(c) for c in ("support", "confidence", "lift", "conviction")])
+    return rules.select("antecedent", "consequent", "support", "confidence", "lift", "conviction")
 
 
 def clips(shop: Shop):
@@ -219,9 +218,9 @@ _STEPS = {
     "r_freq": "SELECT item_id, count(*) AS n FROM r_basket GROUP BY item_id",
     "r_total": "SELECT count(DISTINCT order_no) AS t FROM r_basket",
     "r_rule": """
-        SELECT antecedent, consequent, round(n / t, 6) AS support, round(n / a, 6) AS confidence,
-               round(n * t / (CAST(a AS DOUBLE) * b), 6) AS lift,
-               round((1 - b / t) / nullif(1 - n / a, 0), 6) AS conviction
+        SELECT antecedent, consequent, n / t AS support, n / a AS confidence,
+               n * t / (CAST(a AS DOUBLE) * b) AS lift,
+               (1 - b / t) / nullif(1 - n / a, 0) AS conviction
         FROM (SELECT x.item_id AS antecedent, y.item_id AS consequent, CAST(count(*) AS DOUBLE) AS n,
                      any_value(p.n) AS a, any_value(q.n) AS b
               FROM r_basket x JOIN r_basket y ON x.order_no = y.order_no AND x.item_id <> y.item_id
@@ -286,7 +285,7 @@ def _sql(body: str) -> str:
     return with_views(body, _STEPS)
 
 
-_FIGURES = ", ".join(f"round({c}, 6) AS {c}" for c in ("support", "confidence", "lift", "conviction"))
+_FIGURES = "support, confidence, lift, conviction"
 _TOP = "SELECT item_id, similar_id, round(value, 6) AS value, rank FROM r_view_top"
 
 SQL = {

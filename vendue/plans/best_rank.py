@@ -207,7 +207,8 @@ def final_rank(
         rank = F.col("final_rank")
         for item, (start, per_day) in fade.items():
             lost = (as_of - start).days * per_day
-            rank = F.when(F.col("item_id") == item, F.col("final_rank") + lost).otherwise(rank)
+            listed = F.col("item_id").cast("string") == F.lit(str(item))
+            rank = F.when(listed, F.col("final_rank") + lost).otherwise(rank)
         return rank
 
     return rerank(ranked, ["display_site"], slower, "final_rank", ties, **kw)
