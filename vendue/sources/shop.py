@@ -376,10 +376,10 @@ def latest_days(rows: DataFrame, run: RunWindow, want: int = 3, max_back: int =
 
 def read_latest_days(spark: SparkSession, root: str, run: RunWindow, want: int = 3, max_back: int = 10) -> DataFrame:
     """Store sales of the newest days that have a folder; only those folders are read."""
-    span = F.col("dt").between(F.lit(run.before(max_back + 1)), F.lit(run.before(2)))
     lines = spark.read.text(root)
-    present = {m.group(1) for m in (re.search(r"/dt=([0-9-]+)/", f) for f in lines.where(span).inputFiles()) if m}
-    newest = [date.fromisoformat(d) for d in sorted(present)[-want:]]
+    found = (re.search(r"/dt=([0-9-]+)/", name) for name in lines.inputFiles())
+    present = {date.fromisoformat(m.group(1)) for m in found if m}
+    newest = sorted(d for d in present if run.before(max_back + 1) <= d <= run.before(2))[-want:]
     return parse_lines(lines.where(F.col("dt").isin(newest)), OFFLINE_SALE)
 
 
