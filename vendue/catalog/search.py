@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vendue.checks.tables import with_views
 from vendue.plans import search_best as sb
 from vendue.plans import search_model as sm
+from vendue.session import pin
 from vendue.views import EVENTS_AS_OF, ORDERS_AS_OF, Shop
 
 SINCE = date(1995, 1, 1)
@@ -30,18 +31,22 @@ def sellables(shop: Shop):
     return sb.sb_items(shop.items(), shop.prices(), ORDERS_AS_OF)
 
 
-def known(shop: Shop, fanout: bool = True):
+def known(shop: Shop, fanout: bool = True, items=None):
     columns = ["item_id", "visitor_id", "site_no"]
     both = shop.clicks().select(*columns).unionByName(shop.carts().select(*columns))
-    return sb.known_clicks(both, sellables(shop), logins(shop), fanout)
+    return sb.known_clicks(both, items or sellables(shop), logins(shop), fanout)
 
 
-def buys(shop: Shop):
-    return sb.sb_buy_log(shop.order_lines(), sellables(shop), known(shop), ORDERS_AS_OF, days=None)
+def buys(shop: Shop, items=None, clicked=None):
+    items = items or pin(sellables(shop))
+    return sb.sb_buy_log(shop.order_lines(), items, clicked or known(shop, items=items), ORDERS_AS_OF, days=None)
 
 
 def best(shop: Shop):
-    return sb.search_best(buys(shop), sb.sb_click_log(known(shop)), sellables(shop), shop.prices())
+    # both are read several times
+    items = pin(sellables(shop))
+    clicked = pin(known(shop, items=items))
+    return sb.search_best(buys(shop, items, clicked), sb.sb_click_log(clicked), items, shop.prices())
 
 
 def signals(shop: Shop):

@@ -77,8 +77,8 @@ def attribute_last_touch(
 
 def _hot_keys(groups: DataFrame, pages: DataFrame, limit: int) -> DataFrame | None:
     rows = groups.select(*KEYS).unionByName(pages.select(*KEYS))
-    hot = pin(rows.groupBy(*KEYS).count().where(F.col("count") > limit).select(*KEYS))
-    return None if hot.isEmpty() else small_or_plain(hot)
+    hot = small_or_plain(rows.groupBy(*KEYS).count().where(F.col("count") > limit).select(*KEYS))
+    return None if hot.isEmpty() else hot
 
 
 class _VisitorWindows:

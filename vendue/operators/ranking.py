@@ -27,12 +27,13 @@ def sort_columns(order: Order) -> list[Column]:
 
 
 def small_or_plain(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` when a count proves it small, else ``df`` as it is.
+    """``df`` with a broadcast hint when a count proves it small, else without one.
 
+    The frame is checkpointed, so the count does not compute it a second time.
     Without the hint the join is a shuffled one and AQE splits skewed partitions.
     """
-    counted = df.limit(limit + 1).count()
-    return F.broadcast(df) if counted <= limit else df
+    df = pin(df)
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def number_rows(df: DataFrame, order: Order, out: str = "rn") -> DataFrame:

@@ -62,14 +62,14 @@ def item_similarity(
     score = COUNT_MEASURES[measure]
     held = pin(pairs.select("user_id", "item_id").distinct())
     users = held.select(F.countDistinct("user_id")).first()[0]
-    item_users = held.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users"))
-    large = held.groupBy("user_id").count().where(F.col("count") > large_user).select("user_id")
-    large = pin(large)
+    item_users = small_or_plain(held.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users")))
+    large = small_or_plain(
+        held.groupBy("user_id").count().where(F.col("count") > large_user).select("user_id")
+    )
     if large.isEmpty():
         counted = _pair_counts(held)
         return _best(_score(counted, item_users, score, users), n)
 
-    large = small_or_plain(large)
     small_pairs = pin(_pair_counts(held.join(large, "user_id", "left_anti")))
     signs = (
         held.join(large, "user_id", "left_semi")

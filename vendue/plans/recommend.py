@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vendue.functions.scoring import ratio
 from vendue.functions.text import present
 from vendue.operators.ranking import position, small_or_plain, top_n_per_group
+from vendue.session import pin
 
 # Fixed values of the shop's lists
 UNBRANDED = "9999999999"
@@ -69,9 +70,10 @@ def pair_rules(rows: DataFrame, min_support: float, min_confidence: float) -> Da
     Items below the support cannot be in a rule and go first. What is left of a
     basket is bounded by the support, however long the basket was.
     """
+    rows = pin(rows.select("order_no", "item_id"))
     total = rows.select(F.countDistinct("order_no")).first()[0]
-    frequency = item_frequency(rows).where(F.col("frequency") > min_support * total)
-    kept = rows.join(small_or_plain(frequency.select("item_id")), "item_id", "left_semi")
+    frequency = small_or_plain(item_frequency(rows).where(F.col("frequency") > min_support * total))
+    kept = rows.join(frequency.select("item_id"), "item_id", "left_semi")
     other = kept.select("order_no", F.col("item_id").alias("consequent"))
     both = (
         kept.withColumnRenamed("item_id", "antecedent")
@@ -103,15 +105,17 @@ def association_rules(
     """
     from pyspark.ml.fpm import FPGrowth
 
+    rows = pin(rows.select("order_no", "item_id"))
     total = rows.select(F.countDistinct("order_no")).first()[0]
     frequency = item_frequency(rows).where(F.col("frequency") > min_support * total)
     kept = rows.join(small_or_plain(frequency.select("item_id")), "item_id", "left_semi")
-    arrays = kept.groupBy("order_no").agg(F.collect_set("item_id").alias("items"))
+    # at most as many items per basket as pass the support
+    arrays = pin(kept.groupBy("order_no").agg(F.collect_set("item_id").alias("items")))
     # the model counts support over the rows it sees; baskets without frequent items count as well
     seen = arrays.count()
     share = min(1.0, min_support * total / seen) if seen else 1.0
     found = FPGrowth(itemsCol="items", minSupport=share).fit(arrays).freqItemsets
-    sets = found.select(F.array_sort("items").alias("items"), F.col("freq"))
+    sets = pin(found.select(F.array_sort("items").alias("items"), F.col("freq")))
     single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("antecedent"), F.col("freq").alias("_first"))
     rules = (
         sets.where((F.size("items") > 1) & (F.col("freq") > min_support * total))

@@ -44,6 +44,7 @@ def segment_frame(items: DataFrame, counts: DataFrame, events: DataFrame) -> Dat
     ``counts`` are those of ``br_counts`` by gender and age band. Item master
     values reach only the blank segment, as in the shop's own frame.
     """
+    items = pin(items)
     known = items.select("item_id", "site_no", "category_id", "sell_price")
     blank = items.select(
         "item_id", "site_no", "sell_price", "brand_id", "category_id",
