@@ -29,7 +29,8 @@ def counts(shop: Shop):
 
 
 def frame(shop: Shop):
-    return br.br_frame(items(shop), counts(shop), shop.event_items())
+    clicks = br.br_clicks(shop.clicks(), site_alias=ALIAS)
+    return br.br_frame(items(shop), br.br_counts(shop.order_lines(), clicks), shop.event_items())
 
 
 def final(shop: Shop, normal: bool):
@@ -43,14 +44,14 @@ def products(shop: Shop, normal: bool, k: int = br.PRODUCT_ROWS):
     return br.product_list(final(shop, normal), shop.categories(), ORDERS_AS_OF, k, ALL, BOOST)
 
 
-def demo_counts(shop: Shop):
+def demo_counts(shop: Shop, gated: bool = True):
     orders = sg.orders_demo(shop.order_lines(), shop.members())
-    clicks = br.br_clicks(shop.clicks(), shop.prices(), DEMO, ALIAS, match_site=True)
+    clicks = br.br_clicks(shop.clicks(), shop.prices() if gated else None, DEMO, ALIAS, match_site=True)
     return br.br_counts(orders, clicks, DEMO)
 
 
 def cube(shop: Shop):
-    return sg.segment_cube(sg.segment_frame(items(shop), demo_counts(shop), shop.event_items()))
+    return sg.segment_cube(sg.segment_frame(items(shop), demo_counts(shop, gated=False), shop.event_items()))
 
 
 def segment_ranks(shop: Shop, bounds: str = "overall"):

@@ -7,11 +7,12 @@ few running values over the visits, which each cart line reads off at its time.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vendue.functions.pages import click_area, is_detail, is_noise
 from vendue.operators.ranking import number_rows, small_or_plain
@@ -81,27 +82,28 @@ def _hot_keys(groups: DataFrame, pages: DataFrame, limit: int) -> DataFrame | No
     return None if hot.isEmpty() else hot
 
 
+SORT = ["ts", "is_cart", "visit_id", "tie"]
+
+
 class _VisitorWindows:
     """Windows per visitor and session: groups fit one task."""
 
-    def visits(self, pages: DataFrame, columns: dict[str, Callable]) -> DataFrame:
-        window = Window.partitionBy(*KEYS).orderBy("ts", "visit_id")
-        # of several visits at one instant the last one counts
-        kept = pages.withColumn("_later", F.lead("ts").over(window)).where(
-            F.col("_later").isNull() | (F.col("_later") != F.col("ts"))
-        ).drop("_later")
-        return kept.withColumns({name: build(window) for name, build in columns.items()})
-
-    def timeline(self, rows: DataFrame) -> DataFrame:
-        return rows
+    def timeline(self, visits: DataFrame, carts: DataFrame) -> DataFrame:
+        """Visits and carts in one frame; of several visits at one instant the last one counts."""
+        later = F.lead(F.struct("ts", "is_cart")).over(Window.partitionBy(*KEYS).orderBy(*SORT))
+        return (
+            visits.unionByName(carts)
+            .withColumn("_repeated", (F.col("is_cart") == 0) & later.eqNullSafe(F.struct("ts", "is_cart")))
+            .where(~F.col("_repeated"))
+            .drop("_repeated")
+        )
 
-    def running_last(self, rows: DataFrame, name: str, value: Column, strict: bool) -> DataFrame:
+    def running_last(self, rows: DataFrame, values: Mapping[str, Column], strict: bool) -> DataFrame:
+        """Last value that is there before each row, the row itself included unless ``strict``."""
         window = (
-            Window.partitionBy(*KEYS)
-            .orderBy("ts", "is_cart", "tie")
-            .rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+            Window.partitionBy(*KEYS).orderBy(*SORT).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
         )
-        return rows.withColumn(name, F.last(value, ignorenulls=True).over(window))
+        return rows.withColumns({name: F.last(v, ignorenulls=True).over(window) for name, v in values.items()})
 
 
 class _ChunkWindows:
@@ -110,59 +112,48 @@ class _ChunkWindows:
     def __init__(self, chunk_rows: int):
         self.chunk_rows = chunk_rows
 
-    def _numbered(self, rows: DataFrame, order: list[str]) -> DataFrame:
-        numbered = number_rows(rows, [(c, "asc") for c in order], "_rn")
-        total = numbered.count()
-        size = max(self.chunk_rows, total // MAX_CHUNKS + 1)
-        return numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / size)).withColumn(
-            "_from_end", F.lit(size) - 1 - (F.col("_rn") - 1) % size
-        )
+    def timeline(self, visits: DataFrame, carts: DataFrame) -> DataFrame:
+        last = visits.groupBy(*KEYS, "ts").agg(F.max("visit_id").alias("visit_id"))
+        kept = visits.join(last, [*KEYS, "ts", "visit_id"], "left_semi")
+        numbered = number_rows(kept.unionByName(carts), [(c, "asc") for c in [*KEYS, *SORT]], "_rn")
+        size = max(self.chunk_rows, numbered.count() // MAX_CHUNKS + 1)
+        return pin(numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / size)))
 
-    def visits(self, pages: DataFrame, columns: dict[str, Callable]) -> DataFrame:
-        rest = [c for c in pages.columns if c not in (*KEYS, "ts")]
-        kept = (
-            pages.groupBy(*KEYS, "ts")
-            .agg(F.max_by(F.struct(*rest), F.col("visit_id")).alias("_row"))
-            .select(*KEYS, "ts", "_row.*")
-        )
-        numbered = self._numbered(kept, [*KEYS, "ts", "visit_id"])
-        # the last two rows of a chunk are also shown to the next one
-        targets = F.when(
-            F.col("_from_end") < 2, F.array(F.col("_chunk"), F.col("_chunk") + 1)
-        ).otherwise(F.array("_chunk"))
-        spread = numbered.withColumn("_at", F.explode(targets))
-        window = Window.partitionBy("_at", *KEYS).orderBy("_rn")
-        return (
-            spread.withColumns({name: build(window) for name, build in columns.items()})
-            .where(F.col("_at") == F.col("_chunk"))
-            .drop("_at", "_chunk", "_rn", "_from_end")
-        )
-
-    def timeline(self, rows: DataFrame) -> DataFrame:
-        return pin(self._numbered(rows, [*KEYS, "ts", "is_cart", "tie"]))
-
-    def running_last(self, rows: DataFrame, name: str, value: Column, strict: bool) -> DataFrame:
-        tagged = rows.withColumn("_value", F.when(value.isNotNull(), F.struct(*KEYS, value.alias("v"))))
-        ends = tagged.groupBy("_chunk").agg(
-            F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_rn"))).alias("_end")
-        )
-        # one row per chunk, at most MAX_CHUNKS
-        earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select("_chunk", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    def running_last(self, rows: DataFrame, values: Mapping[str, Column], strict: bool) -> DataFrame:
         local = (
             Window.partitionBy("_chunk")
             .orderBy("_rn")
             .rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
         )
-        found = F.coalesce(F.last("_value", ignorenulls=True).over(local), F.col("_carried"))
-        same = reduce(lambda a, b: a & b, [F.col("_found")[k].eqNullSafe(F.col(k)) for k in KEYS])
-        return pin(
-            tagged.join(F.broadcast(carried), "_chunk", "left")
-            .withColumn("_found", found)
-            .withColumn(name, F.when(same, F.col("_found.v")))
-            .drop("_value", "_carried", "_found")
+        # one row per chunk, at most MAX_CHUNKS
+        earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        tagged = rows.withColumns(
+            {f"_{n}": F.when(v.isNotNull(), F.struct(*KEYS, v.alias("v"))) for n, v in values.items()}
+        )
+        ends = tagged.groupBy("_chunk").agg(
+            *[F.max_by(f"_{n}", F.when(F.col(f"_{n}").isNotNull(), F.col("_rn"))).alias(f"_end_{n}") for n in values]
+        )
+        carried = ends.select(
+            "_chunk", *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values]
+        )
+        found = tagged.join(F.broadcast(carried), "_chunk", "left").withColumns(
+            {
+                f"_found_{n}": F.coalesce(
+                    F.last(f"_{n}", ignorenulls=True).over(local), F.col(f"_carried_{n}")
+                )
+                for n in values
+            }
         )
 
+        def own(name: str) -> Column:
+            # a value of the visitor before is none of this visitor's
+            value = F.col(f"_found_{name}")
+            same = reduce(lambda a, b: a & b, [value[k].eqNullSafe(F.col(k)) for k in KEYS])
+            return F.when(same, value["v"])
+
+        out = found.withColumns({n: own(n) for n in values})
+        return pin(out.drop(*[f"{p}_{n}" for p in ("", "_end", "_carried", "_found") for n in values]))
+
 
 def _page(prefix: str, area: Column) -> Column:
     at = F.col(prefix)
@@ -177,12 +168,29 @@ def _page(prefix: str, area: Column) -> Column:
 
 
 def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> DataFrame:
-    whole = F.struct("visit_id", "ts", "url", "area", "noise", "detail", "content")
-    seen = windows.visits(
-        pages.withColumn("self", whole),
-        {"before": lambda w: F.lag("self", 1).over(w), "before2": lambda w: F.lag("self", 2).over(w)},
+    page = F.struct("visit_id", "ts", "url", "area", "noise", "detail", "content")
+    others = [c for c in groups.columns if c not in (*KEYS, "ts")]
+    visit_rows = pages.select(
+        *KEYS, "ts", F.lit(0).alias("is_cart"), "visit_id", F.lit("").alias("tie"), page.alias("self"),
+        F.lit(None).cast(_cart_type(groups)).alias("cart"),
+    )
+    cart_rows = groups.select(
+        *KEYS,
+        "ts",
+        F.lit(1).alias("is_cart"),
+        F.lit(None).cast(pages.schema["visit_id"].dataType).alias("visit_id"),
+        F.concat_ws("|", *[F.col(c).cast("string") for c in others]).alias("tie"),
+        F.lit(None).cast(visit_rows.schema["self"].dataType).alias("self"),
+        F.struct(*others).alias("cart"),
+    )
+    rows = windows.timeline(visit_rows, cart_rows)
+    rows = windows.running_last(rows, {"before": F.col("self")}, strict=True)
+    rows = windows.running_last(
+        rows, {"before2": F.when(F.col("self").isNotNull(), F.col("before"))}, strict=True
     )
+
     own, area1, area2 = F.col("self.area"), F.col("before.area"), F.col("before2.area")
+    is_visit, has1, has2 = (F.col(c).isNotNull() for c in ("self", "before", "before2"))
     # seen from this visit as the newest one
     before_is_reload = F.col("before.content").eqNullSafe(F.col("self.content")) & F.coalesce(
         area1, own
@@ -192,36 +200,24 @@ def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> D
     settled_is_reload = F.col("before2.content").eqNullSafe(F.col("before.content")) & settled_area.eqNullSafe(
         F.coalesce(area1, own)
     )
-    has1, has2 = F.col("before").isNotNull(), F.col("before2").isNotNull()
-    visit_rows = seen.select(
-        *KEYS,
-        "ts",
-        F.lit(0).alias("is_cart"),
-        F.col("visit_id").cast("string").alias("tie"),
-        F.struct(
-            _page("self", own).alias("page"),
-            F.when(has1 & ~before_is_reload, _page("before", F.coalesce(area1, own))).alias("before"),
-        ).alias("newest"),
-        F.when(has2 & ~settled_is_reload, _page("before2", settled_area)).alias("settled"),
-        F.lit(None).cast(_cart_type(groups)).alias("cart"),
-    )
-    others = [c for c in groups.columns if c not in (*KEYS, "ts")]
-    cart_rows = groups.select(
-        *KEYS,
-        "ts",
-        F.lit(1).alias("is_cart"),
-        F.concat_ws("|", *[F.col(c).cast("string") for c in others]).alias("tie"),
-        F.lit(None).cast(visit_rows.schema["newest"].dataType).alias("newest"),
-        F.lit(None).cast(visit_rows.schema["settled"].dataType).alias("settled"),
-        F.struct(*others).alias("cart"),
-    )
-    rows = windows.timeline(visit_rows.unionByName(cart_rows))
+    rows = rows.withColumns(
+        {
+            "newest": F.when(
+                is_visit,
+                F.struct(
+                    _page("self", own).alias("page"),
+                    F.when(has1 & ~before_is_reload, _page("before", F.coalesce(area1, own))).alias("before"),
+                ),
+            ),
+            "settled": F.when(is_visit & has2 & ~settled_is_reload, _page("before2", settled_area)),
+        }
+    ).select(*KEYS, *SORT, *[c for c in ("_rn", "_chunk") if c in rows.columns], "cart", "newest", "settled")
     useful = F.when(~F.col("settled.noise"), F.col("settled"))
-    rows = windows.running_last(rows, "useful_before", useful, strict=True)
+    rows = windows.running_last(rows, {"useful_before": useful}, strict=True)
     pair = F.when(useful.isNotNull(), F.struct(useful.alias("page"), F.col("useful_before").alias("before")))
-    rows = windows.running_last(rows, "useful", pair, strict=False)
-    rows = windows.running_last(rows, "left_ts", F.col("settled.ts"), strict=False)
-    rows = windows.running_last(rows, "last_visit", F.col("newest"), strict=False)
+    rows = windows.running_last(
+        rows, {"useful": pair, "left_ts": F.col("settled.ts"), "last_visit": F.col("newest")}, strict=False
+    )
 
     oldest = F.col("ts") - F.expr(f"INTERVAL {lookback}")
 
@@ -264,8 +260,6 @@ def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> D
 
 
 def _cart_type(groups: DataFrame) -> str:
-    from pyspark.sql.types import StructType
-
     fields = [f for f in groups.schema.fields if f.name not in (*KEYS, "ts")]
     return StructType(fields).simpleString()
 

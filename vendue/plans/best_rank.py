@@ -65,17 +65,23 @@ def br_items(items: DataFrame, prices: DataFrame, as_of: date) -> DataFrame:
 
 def br_clicks(
     clicks: DataFrame,
-    prices: DataFrame,
+    prices: DataFrame | None = None,
     by: Sequence[str] = (),
     site_alias: Mapping[str, str] = SITE_ALIAS,
     match_site: bool = False,
 ) -> DataFrame:
-    """One row per item, address and site (and segment), for items that have a price."""
+    """One row per item, address and site (and segment), for items that have a price.
+
+    Prices may be left out where the rows are counted for the item frame, which
+    holds priced items only.
+    """
     rows = (
         clicks.where(F.col("visitor_id").isNotNull())
         .select("item_id", "ip", alias_value("site_no", site_alias).alias("site_no"), *by)
         .distinct()
     )
+    if prices is None:
+        return rows
     keys = ["item_id", "site_no"] if match_site else ["item_id"]
     return rows.join(prices.select(*keys).distinct(), keys, "left_semi")
 
