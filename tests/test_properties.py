@@ -88,6 +88,24 @@ def test_large_users_by_class(spark, measure, big):
     assert view(plain) == view(split)
 
 
+@pytest.mark.parametrize("measure", ["llr", "pearson", "euclidean"])
+def test_sliced_users(spark, monkeypatch, measure):
+    from vendue.operators import similarity
+
+    rng = random.Random(9)
+    data = [(u, i, float(rng.randrange(1, 6))) for u, i in hold(rng, 20, 30, 2)]
+    pairs = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating double")
+
+    def view(**kw):
+        found = item_similarity(pairs, 500, measure, **kw)
+        return sorted((r["item_id"], r["similar_id"], round(r["value"], 9)) for r in found.collect())
+
+    plain = view(large_user=10_000)
+    monkeypatch.setattr(similarity, "SLICE", 3)
+    monkeypatch.setattr(similarity, "MAX_LARGE_USERS", 1)
+    assert view(large_user=5) == plain
+
+
 def test_llr_value(spark):
     # users 1..4; items a, b held together by two users
     pairs = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (4, 3)], "user_id bigint, item_id bigint")

@@ -1,9 +1,9 @@
-"""Item-item similarity over user-item pairs: exact, without listing all pairs of a large user.
+"""Item-item similarity over user-item pairs: exact, without listing all pairs of the largest users.
 
 Users with few items are self-joined; each of their rows gives a bounded number of
-pairs. A user with many items is never expanded. Items that the same large users
+pairs. The largest users are never expanded. Items that the same large users
 hold, and that equally many users hold in all, are alike towards every item they
-share no small user with, so such pairs are scored once per class of items and
+share no other user with, so such pairs are scored once per class of items and
 the best members are read off per item.
 """
 
@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from vendue.operators.ranking import position, small_or_plain, top_n_per_group
 from vendue.session import pin
 
+# Users with more items count as large; of those, so many of the largest are kept out of the self-join.
 LARGE_USER = 500
+MAX_LARGE_USERS = 1_000
+
+# Items of one user that one task pairs with all items of that user.
+SLICE = 1_000
 
 ORDER = [("value", "desc"), ("similar_id", "asc")]
 
@@ -63,14 +68,21 @@ def item_similarity(
     held = pin(pairs.select("user_id", "item_id").distinct())
     users = held.select(F.countDistinct("user_id")).first()[0]
     item_users = small_or_plain(held.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users")))
-    large = small_or_plain(
-        held.groupBy("user_id").count().where(F.col("count") > large_user).select("user_id")
+    large = pin(
+        held.groupBy("user_id")
+        .count()
+        .where(F.col("count") > large_user)
+        .orderBy(F.col("count").desc(), "user_id")
+        .limit(MAX_LARGE_USERS)
+        .select("user_id")
     )
     if large.isEmpty():
-        counted = _pair_counts(held)
+        counted = _pair_counts(held, sliced=False)
         return _best(_score(counted, item_users, score, users), n)
 
-    small_pairs = pin(_pair_counts(held.join(large, "user_id", "left_anti")))
+    # at most MAX_LARGE_USERS rows
+    large = F.broadcast(large)
+    small_pairs = pin(_pair_counts(held.join(large, "user_id", "left_anti"), sliced=True))
     signs = (
         held.join(large, "user_id", "left_semi")
         .groupBy("item_id")
@@ -82,15 +94,28 @@ def item_similarity(
     return _best(direct.unionByName(indirect), n)
 
 
-def _pair_counts(held: DataFrame) -> DataFrame:
+def item_pairs(held: DataFrame, sliced: bool = True, **values: str) -> DataFrame:
+    """Ordered pairs of a user's items, with a value column of each side under new names.
+
+    ``sliced`` cuts the items of a user into slices, so that no task gets a whole large user.
+    """
+    named = [F.col(source).alias(name) for name, source in values.items()]
+    left = held.select("user_id", "item_id", *named[:1])
+    right = held.select("user_id", F.col("item_id").alias("similar_id"), *named[1:])
+    keys = ["user_id"]
+    if sliced:
+        sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / SLICE) + 1).alias("_slices"))
+        left = left.join(sizes, "user_id").withColumn("_slice", F.pmod(F.xxhash64("item_id"), "_slices")).drop("_slices")
+        right = right.join(sizes, "user_id").withColumn(
+            "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))
+        ).drop("_slices")
+        keys = ["user_id", "_slice"]
+    return left.join(right, keys).where(F.col("item_id") != F.col("similar_id"))
+
+
+def _pair_counts(held: DataFrame, sliced: bool) -> DataFrame:
     """Users per ordered pair of items."""
-    other = held.select("user_id", F.col("item_id").alias("similar_id"))
-    return (
-        held.join(other, "user_id")
-        .where(F.col("item_id") != F.col("similar_id"))
-        .groupBy("item_id", "similar_id")
-        .agg(F.count(F.lit(1)).alias("both"))
-    )
+    return item_pairs(held, sliced).groupBy("item_id", "similar_id").agg(F.count(F.lit(1)).alias("both"))
 
 
 def _score(counted: DataFrame, item_users: DataFrame, score, users: int) -> DataFrame:
@@ -172,26 +197,17 @@ def _rank_offers(offered: DataFrame) -> DataFrame:
 # Ratings -------------------------------------------------------------------
 
 RATING_MEASURES = ("pearson", "euclidean")
-SLICE = 1_000
 
 
 def rating_similarity(ratings: DataFrame, n: int, measure: str) -> DataFrame:
     """Similarity of the ratings users gave to both items.
 
-    Needs the sums of every pair, so work grows with the square of a user's items;
-    the items of a user are sliced, so that no task gets a whole user.
+    Needs the sums of every pair, so work grows with the square of a user's items.
     """
-    held = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("x"))
-    sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / SLICE) + 1).alias("slices"))
-    left = held.join(sizes, "user_id")
-    sliced = left.withColumn("slice", F.pmod(F.xxhash64("item_id"), F.col("slices"))).drop("slices")
-    spread = left.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
-        "user_id", "slice", F.col("item_id").alias("similar_id"), F.col("x").alias("y")
-    )
+    held = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
     x, y = F.col("x"), F.col("y")
     sums = (
-        sliced.join(spread, ["user_id", "slice"])
-        .where(F.col("item_id") != F.col("similar_id"))
+        item_pairs(held, x="rating", y="rating")
         .groupBy("item_id", "similar_id")
         .agg(
             F.count(F.lit(1)).alias("both"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vendue.functions.scoring import ratio
 from vendue.functions.text import present
 from vendue.operators.ranking import position, small_or_plain, top_n_per_group
+from vendue.operators.similarity import item_pairs
 from vendue.session import pin
 
 # Fixed values of the shop's lists
@@ -29,7 +30,11 @@ def basket_rows(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def baskets(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One text line of items per order, with the number of order lines."""
+    """One text line of items per order, with the number of order lines.
+
+    A line holds its whole order by definition; ``basket_rows`` has the same items
+    as rows, and the rules start from those.
+    """
     on_sale = items.where(F.col("sell_type").isin(10, 20) & (F.col("sell_status") == 20)).select("item_id")
     lines = (
         orders.select("order_no", "item_id")
@@ -67,18 +72,16 @@ def _rule_measures(both: Column, first: Column, second: Column, total: int) -> d
 def pair_rules(rows: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules of one item to one item, from (order_no, item_id) rows.
 
-    Items below the support cannot be in a rule and go first. What is left of a
-    basket is bounded by the support, however long the basket was.
+    Items below the support cannot be in a rule and go first, so what is left of a
+    basket is bounded by the support, however long it was; long ones are sliced.
     """
     rows = pin(rows.select("order_no", "item_id"))
     total = rows.select(F.countDistinct("order_no")).first()[0]
     frequency = small_or_plain(item_frequency(rows).where(F.col("frequency") > min_support * total))
     kept = rows.join(frequency.select("item_id"), "item_id", "left_semi")
-    other = kept.select("order_no", F.col("item_id").alias("consequent"))
     both = (
-        kept.withColumnRenamed("item_id", "antecedent")
-        .join(other, "order_no")
-        .where(F.col("antecedent") != F.col("consequent"))
+        item_pairs(kept.withColumnRenamed("order_no", "user_id"))
+        .select(F.col("item_id").alias("antecedent"), F.col("similar_id").alias("consequent"))
         .groupBy("antecedent", "consequent")
         .agg(F.count(F.lit(1)).alias("both"))
         .where(F.col("both") > min_support * total)

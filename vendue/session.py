@@ -24,6 +24,7 @@ def get_session(app: str = "vendue", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # checkpoints of frames that are no longer referenced go
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
