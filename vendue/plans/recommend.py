@@ -184,15 +184,22 @@ def similar_with_category(sim: DataFrame, items: DataFrame, categories: DataFram
     return sim.join(known, side)
 
 
+def same_category(sim: DataFrame, items: DataFrame, categories: DataFrame, same_class: bool = True) -> DataFrame:
+    """Similar pairs of searchable items with both categories; of one small class unless told otherwise."""
+    both = similar_with_category(similar_with_category(sim, items, categories, "item_id"), items, categories, "similar_id")
+    return both.where(F.col("small_id") == F.col("similar_small_id")) if same_class else both
+
+
+def with_sites(sim: DataFrame, prices: DataFrame) -> DataFrame:
+    """One row per pair and site that sells the candidate."""
+    return sim.join(prices.select(F.col("item_id").alias("similar_id"), "site_no").distinct(), "similar_id")
+
+
 def categorise(
     sim: DataFrame, items: DataFrame, categories: DataFrame, prices: DataFrame, same_class: bool = True
 ) -> DataFrame:
     """Similar pairs of searchable items of one small class, on every site that sells the candidate."""
-    both = similar_with_category(similar_with_category(sim, items, categories, "item_id"), items, categories, "similar_id")
-    if same_class:
-        both = both.where(F.col("small_id") == F.col("similar_small_id"))
-    sites = prices.select(F.col("item_id").alias("similar_id"), "site_no").distinct()
-    return both.join(sites, "similar_id").select(
+    return with_sites(same_category(sim, items, categories, same_class), prices).select(
         "item_id", "similar_id", "site_no", "value", "category_path", "similar_category_path"
     )
 
