@@ -229,14 +229,11 @@ _STEPS = {
         WHERE n > 0.0001 * t AND n / a > 0.05""",
     "b_row": "SELECT DISTINCT l_orderkey AS o, p_brand AS b FROM lineitem JOIN part ON l_partkey = p_partkey",
     "b_total": "SELECT CAST(count(DISTINCT o) AS DOUBLE) AS t FROM b_row",
-    "b_set": """
-        SELECT [x.b] AS s, count(*) AS n FROM b_row x GROUP BY x.b
-        UNION ALL SELECT [x.b, y.b], count(*) FROM b_row x JOIN b_row y ON x.o = y.o AND x.b < y.b GROUP BY x.b, y.b
-        UNION ALL SELECT [x.b, y.b, z.b], count(*) FROM b_row x JOIN b_row y ON x.o = y.o AND x.b < y.b
-                  JOIN b_row z ON x.o = z.o AND y.b < z.b GROUP BY x.b, y.b, z.b
-        UNION ALL SELECT [x.b, y.b, z.b, w.b], count(*) FROM b_row x JOIN b_row y ON x.o = y.o AND x.b < y.b
-                  JOIN b_row z ON x.o = z.o AND y.b < z.b JOIN b_row w ON x.o = w.o AND z.b < w.b
-                  GROUP BY x.b, y.b, z.b, w.b""",
+    # every subset of every order, by adding larger brands one at a time
+    "b_subset": """
+        SELECT o, [b] AS s, b AS last FROM b_row
+        UNION ALL SELECT e.o, list_append(e.s, r.b), r.b FROM b_subset e JOIN b_row r ON e.o = r.o AND r.b > e.last""",
+    "b_set": "SELECT s, count(*) AS n FROM b_subset GROUP BY s",
     "b_open": """
         SELECT s, n, unnest(s) AS a FROM b_set, b_total WHERE n > 0.0015 * t AND len(s) > 1""",
     "b_rule": """

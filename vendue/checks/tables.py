@@ -122,14 +122,14 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     pool = {**VIEWS, **(extra or {})}
     needed: list[str] = []
 
-    def visit(text: str) -> None:
+    def visit(text: str, inside: str = "") -> None:
         for name in pool:
-            if re.search(rf"\b{name}\b", text) and name not in needed:
-                visit(pool[name])
+            if re.search(rf"\b{name}\b", text) and name not in needed and name != inside:
+                visit(pool[name], name)
                 if name not in needed:
                     needed.append(name)
 
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({pool[n]})" for n in needed) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({pool[n]})" for n in needed) + "\n" + body

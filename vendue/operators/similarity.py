@@ -212,12 +212,14 @@ def rating_similarity(ratings: DataFrame, n: int, measure: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("both"),
             F.sum((x - y) * (x - y)).alias("gap2"),
-            F.corr("x", "y").alias("corr"),
+            F.covar_pop("x", "y").alias("shared"),
+            (F.stddev_pop("x") * F.stddev_pop("y")).alias("spread"),
         )
     )
     if measure == "euclidean":
         value = F.lit(1.0) / (F.lit(1.0) + F.sqrt("gap2") / F.sqrt("both"))
     else:
-        value = F.when((F.col("both") > 1) & ~F.isnan("corr"), F.col("corr"))
+        # missing where one side's ratings are all alike
+        value = F.when(F.col("both") > 1, F.try_divide("shared", "spread"))
     scored = sums.select("item_id", "similar_id", value.alias("value")).where(F.col("value").isNotNull())
     return _best(scored, n)
