@@ -142,8 +142,9 @@ _STEPS = {
         FROM q_frame""",
     "q_bounds": "SELECT min(lo) o0, max(lo) o1, min(lc) c0, max(lc) c1, min(la) a0, max(la) a1 FROM q_log",
     "q_norm_raw": """
-        SELECT f.*, 100 * ((lo - o0) / (o1 - o0)) * 0.5::DOUBLE + 100 * ((la - a0) / (a1 - a0)) * 0.2::DOUBLE
-                  + 100 * ((lc - c0) / (c1 - c0)) * 0.3::DOUBLE AS raw
+        SELECT f.*, 100 * ((lo - o0) / nullif(o1 - o0, 0)) * 0.5::DOUBLE
+                  + 100 * ((la - a0) / nullif(a1 - a0, 0)) * 0.2::DOUBLE
+                  + 100 * ((lc - c0) / nullif(c1 - c0, 0)) * 0.3::DOUBLE AS raw
         FROM q_feature_rank f JOIN q_log USING (item_id), q_bounds""",
 }
 
@@ -245,9 +246,9 @@ _STEPS.update(
             SELECT "grouping" AS g, min(lo) o0, max(lo) o1, min(lc) c0, max(lc) c1, min(la) a0, max(la) a1
             FROM q_cube_log GROUP BY "grouping" """,
         "q_seg_score": """
-            SELECT q_cube_log.*, round(100 * ((lo - o0) / (o1 - o0)) * 0.5::DOUBLE
-                   + 100 * ((la - a0) / (a1 - a0)) * 0.2::DOUBLE
-                   + 100 * ((lc - c0) / (c1 - c0)) * 0.3::DOUBLE, 4) AS total_score
+            SELECT q_cube_log.*, round(100 * ((lo - o0) / nullif(o1 - o0, 0)) * 0.5::DOUBLE
+                   + 100 * ((la - a0) / nullif(a1 - a0, 0)) * 0.2::DOUBLE
+                   + 100 * ((lc - c0) / nullif(c1 - c0, 0)) * 0.3::DOUBLE, 4) AS total_score
             FROM q_cube_log, q_cube_bounds WHERE g = 'all'""",
         "q_seg_shown": """
             SELECT *, site_no AS display_site, site_no AS sell_site FROM q_seg_score

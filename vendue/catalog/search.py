@@ -245,7 +245,7 @@ _STEPS["m_bounds"] = "SELECT " + ", ".join(
     f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in sm.LOGGED + sm.PLAIN
 ) + " FROM m_log"
 _STEPS["m_norm"] = "SELECT item_id, brand_id, category_id, new_flag, " + ", ".join(
-    ("100 - " if c == "unit_price" else "") + f"100 * (({c} - lo_{c}) / (hi_{c} - lo_{c})) AS {c}"
+    ("100 - " if c == "unit_price" else "") + f"100 * (({c} - lo_{c}) / nullif(hi_{c} - lo_{c}, 0)) AS {c}"
     for c in sm.LOGGED + sm.PLAIN
 ) + " FROM m_log, m_bounds"
 _NEW = "(search_growth * 0.4::DOUBLE + click_growth * 0.4::DOUBLE + freshness * 0.2::DOUBLE)"
