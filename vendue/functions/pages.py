@@ -186,10 +186,15 @@ PREDICATES: dict[str, Callable[[], Column]] = {
 
 
 def click_area(url: Column, params: Mapping[str, str] = AREA_PARAMS, lead: str = "&") -> Column:
-    """First area parameter that has a value; null when there is none."""
+    """First area parameter that has a value; null when there is none.
+
+    ``lead`` is a pattern of what stands before a parameter. A value goes up to the
+    next parameter, and with another lead than the default also to a fragment.
+    """
+    ends = "&" if lead == "&" else "&#"
     found = []
     for name, prefix in params.items():
-        value = F.regexp_extract(url, f"{lead}{name}=([^&#]+)" if lead != "&" else f"&{name}=([^&]+)", 1)
+        value = F.regexp_extract(url, f"{lead}{name}=([^{ends}]+)", 1)
         found.append(F.when(value != "", F.concat(F.lit(prefix), value)))
     return F.coalesce(*found)
 

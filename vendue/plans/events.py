@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ DROPPED_INFLOW_KIND = "03"
 REPEAT_ORDER_KIND, REPEAT_ITEM_KIND = "30", "12"
 NOT_VISITED_PREFIXES = ["6", "8", "9"]
 DEFAULT_EXTENSION = "10"
+APP_BROWSER, PC_MEDIA = "SSGAPP", "10"
 UNIT_CODES = {"item": "10", "banr": "20", "main_banr": "20"}
 AREA_NAMES = {"해피바이러스": "happy", "오반장": "obanjang"}
 COUNTER_KEYS = [
@@ -182,7 +183,7 @@ def ad_counters(ad_rows: DataFrame) -> DataFrame:
     return rows.groupBy(*COUNTER_KEYS).agg(*ad_counts())
 
 
-def ad_contribution(orders: DataFrame, media: Mapping[str, str] | None = None) -> DataFrame:
+def ad_contribution(orders: DataFrame) -> DataFrame:
     """Revenue of order lines that carry an ad target of 10 or 12 characters.
 
     A 12-character target starts with its extension code. Device: 10 for PC media,
@@ -191,8 +192,8 @@ def ad_contribution(orders: DataFrame, media: Mapping[str, str] | None = None) -
     target = F.col("inflow_target")
     long_form = F.length(target) == 12
     device = (
-        F.when(F.col("media_kind") == "10", "10")
-        .when(F.col("browser").contains("SSGAPP"), "30")
+        F.when(F.col("media_kind") == PC_MEDIA, "10")
+        .when(F.col("browser").contains(APP_BROWSER), "30")
         .otherwise("20")
     )
     return orders.where(F.length(target).isin(10, 12)).select(

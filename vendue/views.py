@@ -290,7 +290,7 @@ class Shop:
         )
 
     def interactions(self) -> DataFrame:
-        """Visitor, item pairs for similarity; a quarter of the users, so the table is sparse."""
+        """User and item of views, for similarity."""
         return self.events().where(F.col("event_type") == "view").select(
             F.col("user_id"), F.col("k").alias("item_id"), "ts"
         )
