@@ -44,7 +44,7 @@ def _encoders(path: str):
     ranks = {b: n for b, n in ranks.items() if b.decode("latin-1") not in special}
     fast = tiktoken.Encoding("pieces", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
     # Special tokens and letters beyond Latin, where versions of Unicode may differ, go the plain way.
-    plain = re.compile("|".join([*map(re.escape, special), "[^\x00-ɏ‐-…]"]))
+    plain = re.compile("|".join([*map(re.escape, special), "[^\\x00-\\u024F\\u2010-\\u2026]"]))
     return whole, fast, plain
 
 

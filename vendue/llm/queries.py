@@ -9,7 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendue.llm import decontaminate, quality_cascade
+from vendue.llm import best_fit_packing, decontaminate, quality_cascade, warc
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +26,22 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.measure(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_cascade": op5_quality_cascade,
+    "op3_warc": op3_warc,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
 }
 
