@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendue.llm import best_fit_packing, decontaminate, hamming_join, quality_cascade, warc
+from vendue.llm import best_fit_packing, decontaminate, hamming_join, line_frequency, quality_cascade, surrogates, url_rules, warc
 
 
 def tokenizer_path() -> str:
@@ -22,14 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_frequency.drop_boilerplate(docs)
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.measure(table(spark, sf_dir, "documents"))
 
 
+# Rules as host, path and verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"), key="registered query")
+
+
 def op7_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_join.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
@@ -43,6 +60,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": op1_url_rules,
+    "op4_line_frequency": op4_line_frequency,
+    "op6_surrogates": op6_surrogates,
     "op5_quality_cascade": op5_quality_cascade,
     "op3_warc": op3_warc,
     "op7_hamming_join": op7_hamming_join,
@@ -51,6 +71,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_url_rules": """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT r, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+u(rh, rp, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (SELECT r, rh || rp AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(rh || rp) DESC) AS k
+      FROM h JOIN u ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM h LEFT JOIN f ON h.r = f.r AND k = 1
+""",
+    "op4_line_frequency": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
+t AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
+b AS (SELECT source, line FROM (SELECT DISTINCT r, source, line FROM l) JOIN t USING (source)
+      WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+      GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages),
+k AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY i) FILTER (WHERE b.source IS NULL) AS text,
+        count(b.source) AS n_dropped
+      FROM l LEFT JOIN b ON l.source = b.source AND l.line = b.line GROUP BY l.r)
+SELECT doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  coalesce(n_dropped, 0) AS n_dropped
+FROM d LEFT JOIN k ON d.r = k.r
+""",
     "op5_quality_cascade": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
@@ -81,8 +125,8 @@ WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text,
 s AS (SELECT DISTINCT doc_id, w[i] || ' ' || coalesce(w[i + 1], '') AS g
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)),
+pr AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM pr JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
