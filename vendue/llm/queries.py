@@ -9,7 +9,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendue.llm import best_fit_packing, decontaminate, hamming_join, line_frequency, quality_cascade, surrogates, url_rules, warc
+from vendue.llm import (
+    best_fit_packing,
+    decontaminate,
+    hamming_join,
+    language_evidence,
+    line_frequency,
+    quality_cascade,
+    surrogates,
+    toxicity,
+    url_rules,
+    warc,
+)
 
 
 def tokenizer_path() -> str:
@@ -39,6 +50,11 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
@@ -51,6 +67,11 @@ def op7_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_join.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op8_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_evidence.fit_text_model(table(spark, sf_dir, "documents"))
+    return language_evidence.identify(table(spark, sf_dir, "pages"), model)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -60,14 +81,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_url_rules": op1_url_rules,
-    "op4_line_frequency": op4_line_frequency,
-    "op6_surrogates": op6_surrogates,
-    "op5_quality_cascade": op5_quality_cascade,
-    "op3_warc": op3_warc,
-    "op7_hamming_join": op7_hamming_join,
-    "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_decontaminate": op10_decontaminate,
+    query.__name__: query
+    for query in (
+        op1_url_rules,
+        op2_toxicity,
+        op3_warc,
+        op4_line_frequency,
+        op5_quality_cascade,
+        op6_surrogates,
+        op7_hamming_join,
+        op8_language_evidence,
+        op9_best_fit_packing,
+        op10_decontaminate,
+    )
 }
 
 SQL: dict[str, str] = {
