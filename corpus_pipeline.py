@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vendue.llm import decontaminate, quality_cascade
+from vendue.llm import best_fit_packing, decontaminate, hamming_join, line_frequency, quality_cascade
 from vendue.llm.common import stored
-from vendue.llm.queries import table
+from vendue.llm.queries import table, tokenizer_path
+
+
+def _with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,14 +22,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_cascade.keep_good(docs)
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark; those made of them go."""
-    return decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the boilerplate lines of their site; every document stays."""
+    return _with_length(line_frequency.drop_boilerplate(docs).drop("n_dropped"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: sets of five-word shingles, similarity 0.8 or more."""
+    return hamming_join.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark; those that consist of them to the limit go."""
+    return _with_length(decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' token pieces in sequences."""
+    return best_fit_packing.pack(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
-    ("benchmark decontamination", decontaminated),
+    ("line dedup", lines),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
 #: Connected groups and token numbers have no SQL form; the tests hold the stages against brute force.

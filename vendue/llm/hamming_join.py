@@ -254,21 +254,8 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
     return links.union(stored(_confirmed(across, ["cluster", "p", "q"], percent), "links-across"))
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
-
-    Documents are linked when ``100 * |A and B| >= percent * |A or B|`` for their sets of word
-    shingles (A-Z lower-cased, fewer words are one shingle); component_id is the smallest
-    doc_id reachable over links. Null and empty texts, or texts of white space, have no
-    shingles, are linked with nothing and kept. Rows of equal id and text get equal results;
-    rows without an id take part, and a component of these alone has a null id. Other columns are
-    not read. Every link is confirmed on full sets; pairs are missed only if their signatures are more
-    than ``MOST_APART`` values apart.
-
-    Scale: classes, keys and buckets are counted before they are joined; a key that many classes
-    share gives one edge for each of them, never pairs. Confirming compares a cluster in blocks
-    of bounded size, and across blocks only what is not connected yet.
-    """
+def _judged(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id`` of every row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stored(_measure(docs, shingle_words), "signatures")
     classes = stored(_classes(rows), "classes")
@@ -281,13 +268,34 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     lead = alone.select("label", F.col("rep_id").alias("own_id")).join(smallest, "label", "left")
     lead = lead.select("label", F.least("own_id", "least_id").alias("component_id"))
     named = named.join(lead, "label").select("k1", "k2", F.col("n").alias("n_shingles"), "component_id")
-    some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2", "n_shingles"])
-    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = some.select("doc_id", "n_shingles", "component_id").union(none)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    columns = ["doc_id", "text_hash", "n_shingles"]
+    some = rows.where("n_shingles > 0").select(*columns, "k1", "k2").join(named, ["k1", "k2", "n_shingles"])
+    none = rows.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"))
+    return some.select(*columns, "component_id").union(none)
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+
+    Documents are linked when ``100 * |A and B| >= percent * |A or B|`` for their sets of word
+    shingles (A-Z lower-cased, fewer words are one shingle); component_id is the smallest
+    doc_id reachable over links. Null and empty texts, or texts of white space, have no
+    shingles, are linked with nothing and kept. Rows of equal id and text are one document and get equal
+    results; rows without an id take part, and a component of these alone has a null id and is kept. Other
+    columns are not read. Every link is confirmed on full sets; pairs are missed only if their signatures
+    are more than ``MOST_APART`` values apart.
+
+    Scale: classes, keys and buckets are counted before they are joined; a key that many classes
+    share gives one edge for each of them, never pairs. Confirming compares a cluster in blocks
+    of bounded size, and across blocks only what is not connected yet.
+    """
+    judged = _judged(docs, shingle_words, percent).drop("text_hash")
+    return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stand for their component, columns as they are."""
-    gone = near_duplicates(docs, shingle_words, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    judged = _judged(docs, shingle_words, percent).where("not doc_id <=> component_id")
+    gone = judged.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__hash"])
+    return docs.join(gone, same, "left_anti")
