@@ -120,9 +120,12 @@ def order_rules(docs: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_RO
     The sample is bounded by that parameter; it only moves work around. Every rule is timed
     from nothing on every text of the sample. Without rows the given order stays.
     """
-    texts = [r[0] for r in docs.select("text").orderBy(F.xxhash64("text")).limit(sample_rows).collect()]
-    if not texts:
+    hashed = F.xxhash64("text")
+    # hashes alone are sorted; no more texts than the sample has are sent to the driver
+    last = docs.select(hashed.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    if last is None:
         return rules
+    texts = [r[0] for r in docs.where(hashed <= last).select("text").limit(sample_rows).collect()]
     gain = []
     for rule in rules:
         start = time.perf_counter()
