@@ -223,7 +223,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         k = np.searchsorted(key, (length.to_numpy() << 48) | rank.to_numpy(), "right") - 1
         return pd.DataFrame({"sequence_id": base[k] + rank.to_numpy() - first[k], "offset": at[k]})
 
-    joined = ranked.join(counts.select("length", "__part", "before"), ["length", "__part"])
+    # counts grow with the number of partitions, so they are not broadcast
+    joined = ranked.join(counts.select("length", "__part", "before").hint("merge"), ["length", "__part"])
     placed = joined.withColumn("__at", find("length", F.col("__rank") + F.col("before")))
     return placed.select(*(f"`{c}`" for c in columns), "__at.sequence_id", "__at.offset")
 
