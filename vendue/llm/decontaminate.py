@@ -252,18 +252,18 @@ def merge_spans(spans: list) -> list[tuple[int, int]]:
 def find_test_items(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
-    """``docs`` with ``found``: ``n_words, hit_spans, items`` of each whole text.
+    """``docs`` with ``__found``: ``n_words, hit_spans, items`` of each whole text.
 
     A hit is every word inside an occurrence of ``window`` consecutive words of an item, or
     of a whole item with fewer words. Items with a null id or text are left out; equal ids
     count once. Null and empty texts have no words. Rows pass through one by one, so repeated
     rows and null ids stay as they are, and other columns are carried along (a column
-    named ``found`` is replaced).
+    named ``__found`` is replaced).
 
     The items go to the tasks in blocks of ``block_words``, whatever their number; each
     block is a further pass over the text column within the same scan, no shuffle.
     """
-    out, names = docs.drop("found"), []
+    out, names = docs.drop("__found"), []
     for number, (packed, block) in enumerate(_blocks(items, block_words)):
         data = packed.where(F.col("block") == block).select("data").first()[0]
         names.append(f"__found_{number}")
@@ -272,7 +272,7 @@ def find_test_items(
         out = out.withColumn("__found_0", _scanner(pickle.dumps([]), window)("text"))
         names = ["__found_0"]
     if len(names) == 1:
-        return out.withColumnRenamed(names[0], "found")
+        return out.withColumnRenamed(names[0], "__found")
 
     @F.pandas_udf(FOUND)
     def union(n_words: pd.Series, spans: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -289,7 +289,7 @@ def find_test_items(
         F.array(*(F.col(f"{n}.hit_spans") for n in names)),
         F.array(*(F.col(f"{n}.items") for n in names)),
     )
-    return out.withColumn("found", merged).drop(*names)
+    return out.withColumn("__found", merged).drop(*names)
 
 
 def contaminated(n_words, n_hit, percent: int):
@@ -305,13 +305,13 @@ def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int
         return found.map(lambda ids: hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())
 
     found = find_test_items(docs.select("doc_id", "text"), items, window)
-    n_hit = F.aggregate("found.hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    n_hit = F.aggregate("__found.hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     out = found.select(
         "doc_id",
-        F.col("found.n_words").alias("n_words"),
+        F.col("__found.n_words").alias("n_words"),
         n_hit.alias("n_hit"),
-        F.size("found.items").cast("long").alias("n_items"),
-        digest("found.items").alias("items_sha256"),
+        F.size("__found.items").cast("long").alias("n_items"),
+        digest("__found.items").alias("items_sha256"),
     )
     return out.withColumn("contaminated", contaminated(F.col("n_words"), F.col("n_hit"), percent))
 
@@ -323,15 +323,15 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, percen
     the last character of each span, and the text around stays as it is.
     """
     columns = docs.columns
-    n_hit = F.aggregate("found.hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    n_hit = F.aggregate("__found.hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     found = find_test_items(docs, items, window)
-    kept = found.where(~contaminated(F.col("found.n_words"), n_hit, percent))
+    kept = found.where(~contaminated(F.col("__found.n_words"), n_hit, percent))
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut_words(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    text = F.when(n_hit > 0, cut(F.when(n_hit > 0, F.col("text")), F.col("found.hit_spans"))).otherwise(F.col("text"))
+    text = F.when(n_hit > 0, cut(F.when(n_hit > 0, F.col("text")), F.col("__found.hit_spans"))).otherwise(F.col("text"))
     return kept.withColumn("text", text).select(*(f"`{c}`" for c in columns))
 
 
