@@ -138,3 +138,39 @@ def test_orders_with_attribution(spark, rows):
     assert rows(late, "order_no", "page") == [("o1", "b"), ("o1", "b2"), ("o1", "other site"), ("o2", None)]
     early = orders_with_attribution(orders, attr, not_after="at")
     assert rows(early, "order_no", "page") == [("o1", "a"), ("o2", None)]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
+def test_repeated_instants_and_nameless_visitors(spark, hot_rows):
+    """A line written twice counts once; visits of nobody are those of one nameless visitor."""
+    rows = [
+        (name, "s", at(m), i, url, "")
+        for name in ("v", None)
+        for m, i, url in [(1, 1, MAIN), (2, 2, ITEM), (2, 2, ITEM), (3, 3, NOISE)]
+    ]
+    seen = spark.createDataFrame(rows, VISIT).selectExpr("*", "concat('os', visit_id) as os")
+    carts = spark.createDataFrame([(n, "s", at(30), "1", "i", "c", 1) for n in ("v", None)], CART)
+    found = attribute_last_touch(carts, seen, carry=["os"], hot_rows=hot_rows, chunk_rows=2).collect()
+    assert [(r["visit_id"], r["url"], r["os"]) for r in found] == [(1, MAIN, "os1")] * 2
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
+def test_carried_columns_tell_reloads_apart(spark, hot_rows):
+    seen = visits(spark, (1, ITEM, ""), (2, ITEM, "")).selectExpr("*", "cast(visit_id as string) as word")
+    carts = spark.createDataFrame([("v", "s", at(30), "1", "i", "c", 1)], CART)
+    plain = attribute_last_touch(carts, seen, hot_rows=hot_rows).first()
+    carried = attribute_last_touch(carts, seen, carry=["word"], hot_rows=hot_rows).first()
+    assert (plain["visit_id"], carried["visit_id"], carried["word"]) == (2, 1, "1")
+
+
+def test_not_after_keeps_every_order_line(spark):
+    orders = spark.createDataFrame(
+        [(1, "i", "a", at(10)), (1, "i", "a", at(10)), (2, "i", None, at(10)), (3, "i", "b", at(10)), (4, "i", "a", None), (5, "i", "a", at(1))],
+        "order_no int, item_id string, cart_id string, order_ts timestamp",
+    )
+    pages = spark.createDataFrame(
+        [("1", "i", "a", at(5), 7), ("1", "i", "a", at(8), 8), ("1", "i", "a", at(20), 9), ("1", "i", None, at(5), 1)],
+        "site_no string, item_id string, cart_id string, cart_ts timestamp, page_id int",
+    )
+    found = orders_with_attribution(orders, pages, ["item_id", "cart_id"], not_after="order_ts").collect()
+    assert sorted((r["order_no"], r["page_id"] or 0) for r in found) == [(1, 8), (1, 8), (2, 0), (3, 0), (4, 0), (5, 0)]

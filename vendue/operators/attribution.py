@@ -40,21 +40,28 @@ def attribute_last_touch(
     detail: Callable[[Column, Column], Column] = is_detail,
     area: Callable[[Column], Column] = click_area,
     content: Sequence[str] = ("url", "screen_code"),
+    carry: Sequence[str] = (),
     hot_rows: int = GROUP_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Cart lines with the page that led to them; lines without a visit are left out.
 
-    Rules, newest visit first: a visit that equals the next newer one in
-    ``content`` and area is a reload and goes. If more than one visit is left,
+    Rules: of several visits at one instant the one with the largest id counts, once
+    however often its line is repeated. Then, newest visit first: a visit that equals
+    the next newer one in ``content``, ``carry`` and area is a reload and goes. If more than one visit is left,
     noise pages go, and so does the newest remaining page when it is an
     item-detail page. The newest page left is taken; with none left, the detail
     page, and with only noise the newest visit. A page without area of its own
     takes that of the next newer visit.
 
-    Visitors with more than ``hot_rows`` rows are cut into chunks that run in
-    separate tasks; the values at a chunk's start come from the chunks before.
+    ``carry`` names further columns of the page that the result hands on. Visits and
+    carts without a visitor or session belong to one nameless visitor.
+
+    Only visits of visitors with a cart are sorted. Visitors with more than
+    ``hot_rows`` rows are cut into chunks that run in separate tasks; the values
+    at a chunk's start come from the chunks before.
     """
+    content = list(dict.fromkeys([*content, *carry]))
     pages = visits.select(
         *KEYS,
         "ts",
@@ -66,16 +73,23 @@ def attribute_last_touch(
         F.struct(*content).alias("content"),
     )
     groups = cart_groups(carts)
+    pages = _with_keys(pages, small_or_plain(groups.select(*KEYS).distinct()), "left_semi")
     hot = _hot_keys(groups, pages, hot_rows)
     if hot is None:
-        return _attribute(groups, pages, lookback, _VisitorWindows())
-    cold = [df.join(hot, KEYS, "left_anti") for df in (groups, pages)]
-    warm = [df.join(hot, KEYS, "left_semi") for df in (groups, pages)]
-    return _attribute(*cold, lookback, _VisitorWindows()).unionByName(
-        _attribute(*warm, lookback, _ChunkWindows(chunk_rows))
+        return _attribute(groups, pages, lookback, _VisitorWindows(), carry)
+    cold = [_with_keys(df, hot, "left_anti") for df in (groups, pages)]
+    warm = [_with_keys(df, hot, "left_semi") for df in (groups, pages)]
+    return _attribute(*cold, lookback, _VisitorWindows(), carry).unionByName(
+        _attribute(*warm, lookback, _ChunkWindows(chunk_rows), carry)
     )
 
 
+def _with_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join on visitor and session, where missing ones are equal to missing ones."""
+    right = keys.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+    return df.join(right, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]), how)
+
+
 def _hot_keys(groups: DataFrame, pages: DataFrame, limit: int) -> DataFrame | None:
     rows = groups.select(*KEYS).unionByName(pages.select(*KEYS))
     hot = small_or_plain(rows.groupBy(*KEYS).count().where(F.col("count") > limit).select(*KEYS))
@@ -113,8 +127,9 @@ class _ChunkWindows:
         self.chunk_rows = chunk_rows
 
     def timeline(self, visits: DataFrame, carts: DataFrame) -> DataFrame:
-        last = visits.groupBy(*KEYS, "ts").agg(F.max("visit_id").alias("visit_id"))
-        kept = visits.join(last, [*KEYS, "ts", "visit_id"], "left_semi")
+        rest = [c for c in visits.columns if c not in (*KEYS, "ts")]
+        last = visits.groupBy(*KEYS, "ts").agg(F.max_by(F.struct(*rest), F.struct("visit_id", "tie")).alias("_last"))
+        kept = last.select(*KEYS, "ts", "_last.*").select(*visits.columns)
         numbered = number_rows(kept.unionByName(carts), [(c, "asc") for c in [*KEYS, *SORT]], "_rn")
         size = max(self.chunk_rows, numbered.count() // MAX_CHUNKS + 1)
         return pin(numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / size)))
@@ -136,7 +151,7 @@ class _ChunkWindows:
         carried = ends.select(
             "_chunk", *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values]
         )
-        found = tagged.join(F.broadcast(carried), "_chunk", "left").withColumns(
+        found = tagged.join(carried, "_chunk", "left").withColumns(
             {
                 f"_found_{n}": F.coalesce(
                     F.last(f"_{n}", ignorenulls=True).over(local), F.col(f"_carried_{n}")
@@ -164,14 +179,15 @@ def _page(prefix: str, area: Column) -> Column:
         area.alias("area"),
         at["noise"].alias("noise"),
         at["detail"].alias("detail"),
+        at["content"].alias("content"),
     )
 
 
-def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> DataFrame:
+def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows, carry: Sequence[str]) -> DataFrame:
     page = F.struct("visit_id", "ts", "url", "area", "noise", "detail", "content")
     others = [c for c in groups.columns if c not in (*KEYS, "ts")]
     visit_rows = pages.select(
-        *KEYS, "ts", F.lit(0).alias("is_cart"), "visit_id", F.lit("").alias("tie"), page.alias("self"),
+        *KEYS, "ts", F.lit(0).alias("is_cart"), "visit_id", F.hex(F.xxhash64(page)).alias("tie"), page.alias("self"),
         F.lit(None).cast(_cart_type(groups)).alias("cart"),
     )
     cart_rows = groups.select(
@@ -240,7 +256,7 @@ def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> D
     first, second = F.get("_candidates", F.lit(0)), F.get("_candidates", F.lit(1))
     bare = F.struct(
         *[(F.lit(None).cast("string") if n == "area" else newest[n]).alias(n)
-          for n in ("visit_id", "ts", "url", "area", "noise", "detail")]
+          for n in ("visit_id", "ts", "url", "area", "noise", "detail", "content")]
     )
     chosen = (
         F.when(~F.col("_several"), newest)
@@ -256,6 +272,7 @@ def _attribute(groups: DataFrame, pages: DataFrame, lookback: str, windows) -> D
         F.col("_page.ts").alias("visit_ts"),
         F.col("_page.url").alias("url"),
         F.col("_page.area").alias("area"),
+        *[F.col("_page.content")[c].alias(c) for c in carry],
     )
 
 
@@ -278,20 +295,30 @@ def orders_with_attribution(
     """Order lines with the newest attribution row of their cart; ties keep several rows.
 
     With ``not_after`` (a time column of the orders) attribution later than the
-    order is left out; by default it is taken as well.
+    order is left out and of ties the row that sorts last is taken; by default later
+    attribution is taken as well. Every order line comes back, equal lines each for itself
+    and lines with a missing key without attribution.
     """
     keys = list(keys)
     if not_after is None:
         newest = attributed.groupBy(site, *keys).agg(F.max(ts).alias(ts))
         latest = attributed.join(newest, [site, *keys, ts], "left_semi").drop(site)
         return orders.join(latest, keys, "left")
-    # newest row per order line: the times known for a cart are joined as an aggregate per line
-    line = [c for c in orders.columns]
-    joined = orders.join(attributed.drop(site), keys, "left").where(
-        F.col(ts).isNull() | (F.col(ts) <= F.col(not_after))
+    # As-of: orders and attribution rows of a cart on one timeline; an order reads off the last row
+    # before it. No pairs are built, and orders are rows of their own throughout.
+    rest = [c for c in attributed.columns if c not in (site, *keys)]
+    lines = orders.select(
+        *keys, F.col(not_after).alias("_at"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(attributed.select(F.struct(*rest).alias("r")).schema["r"].dataType).alias("_row"),
+        F.struct(*orders.columns).alias("_line"),
+    )
+    rows = attributed.dropna(subset=[*keys, ts]).select(
+        *keys, F.col(ts).alias("_at"), F.lit(0).alias("_kind"), F.struct(*rest).alias("_row"),
+        F.lit(None).cast(lines.schema["_line"].dataType).alias("_line"),
     )
-    rest = [c for c in joined.columns if c not in line]
-    best = joined.groupBy(*line).agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_row"))
-    found = best.select(*line, *[F.col("_row")[c].alias(c) for c in rest])
-    missed = orders.join(found.select(*line), line, "left_anti")
-    return found.unionByName(missed, allowMissingColumns=True)
+    # rows without a key are apart: they would meet in one group
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, "_at"]])
+    before = Window.partitionBy(*keys).orderBy("_at", "_kind", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.unionByName(lines.where(whole)).withColumn("_row", F.last("_row", ignorenulls=True).over(before))
+    found = found.where("_kind = 1").unionByName(lines.where(~whole))
+    return found.select("_line.*", *[F.col("_row")[c].alias(c) for c in rest])
