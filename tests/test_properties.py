@@ -190,3 +190,18 @@ def test_run_window():
     assert RunWindow.parse("17-09-12-05").as_of == datetime(2017, 9, 12, 5)
     assert RunWindow.parse("17-09-12").day == date(2017, 9, 12)
     assert RunWindow.parse(now=datetime(2024, 1, 1, 0, 30)).as_of == datetime(2023, 12, 31, 23)
+
+
+def test_als_names_ids_beyond_32_bits(spark):
+    from vendue.plans.recommend import als_recommend
+
+    base = 1_000_010_008_801
+    rows = [(base + u, base * 7 + i, float(1 + (u * i) % 5)) for u in range(6) for i in range(5) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    found = als_recommend(ratings, iters=2, n=3).collect()
+    assert {r["user_id"] for r in found} == {r[0] for r in rows}
+    assert {r["item_id"] for r in found} <= {r[1] for r in rows}
+    for user in {r[0] for r in rows}:
+        assert sorted(r["rank"] for r in found if r["user_id"] == user) == [1, 2, 3]
+    few = spark.createDataFrame([(base + 2,), (base + 2,), (5,)], "user_id bigint")
+    assert {r["user_id"] for r in als_recommend(ratings, iters=2, n=3, users=few).collect()} == {base + 2}

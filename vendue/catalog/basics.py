@@ -16,8 +16,8 @@ from vendue.sinks.tables import Store
 from vendue.sources import shop as src
 from vendue.sources.delimited import Layout, parse_lines
 from vendue.sources.window import RunWindow
-from vendue.streaming.ads import ad_counters_stream, sliding_counts
-from vendue.streaming.micro import read_stream, run_available
+from vendue.streaming.ads import ad_counters_stream, sliding_stream
+from vendue.streaming.micro import read_stream
 from vendue.views import EVENTS_AS_OF, ORDERS_AS_OF, Shop
 
 
@@ -118,13 +118,12 @@ def published(s: Shop) -> DataFrame:
 
 
 def streamed_counters(s: Shop) -> DataFrame:
-    """Ad counters of the events file as a stream; windows the watermark has passed."""
+    """Ad counters of the events file as a stream, the newest minute and late rows included."""
     schema = s.table("events").schema
     root = scratch(s)
     stream = read_stream(s.spark, s.root, schema, pathGlobFilter="events.parquet")
     rows = Shop.ad_rows(_Over(s, stream))
-    run_available(ad_counters_stream(rows), f"{root}/out", f"{root}/state")
-    return s.spark.read.parquet(f"{root}/out").withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+    return ad_counters_stream(rows, f"{root}/out", f"{root}/state")
 
 
 def streamed_windows(s: Shop) -> DataFrame:
@@ -132,8 +131,7 @@ def streamed_windows(s: Shop) -> DataFrame:
     root = scratch(s)
     stream = read_stream(s.spark, s.root, schema, pathGlobFilter="events.parquet")
     visits = stream.select("ts", F.col("user_id").alias("visitor_id"))
-    run_available(sliding_counts(visits), f"{root}/out", f"{root}/state")
-    return s.spark.read.parquet(f"{root}/out").withColumns(
+    return sliding_stream(visits, f"{root}/out", f"{root}/state").withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("from_ts", "to_ts")})
 
 
@@ -329,13 +327,11 @@ SQL = {
         SELECT p_partkey AS item_id, p_brand, CAST(CASE WHEN p_brand < 'Brand#2' THEN p_size + 100 ELSE p_size END AS INTEGER) AS score
         FROM part WHERE p_partkey % 2 = 0 OR p_brand < 'Brand#2'""",
     "serving_swap": "SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_brand AS brand_id, p_type AS category_id FROM part",
-    "ad_counters_stream": with_views(_counters(
-        "WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")),
+    "ad_counters_stream": with_views(_counters("")),
     "sliding_visits_stream": """
         SELECT from_ts, from_ts + INTERVAL 6 HOUR AS to_ts, user_id AS visitor_id, count(*) AS visits
         FROM (SELECT user_id, date_trunc('hour', ts) - to_hours(h) AS from_ts
               FROM events, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS h))
-        WHERE from_ts + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
         GROUP BY from_ts, user_id""",
     "global_row_number": "SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS rn FROM part",
     "global_row_number_split": "SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS rn FROM part",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vendue.functions.scoring import ratio
 from vendue.functions.text import present
-from vendue.operators.ranking import position, small_or_plain, top_n_per_group
+from vendue.operators.ranking import number_rows, position, small_or_plain, top_n_per_group
 from vendue.operators.similarity import item_pairs
 from vendue.session import pin
 
@@ -392,13 +392,34 @@ def als_model(ratings: DataFrame, rank: int = 3, reg: float = 0.65, iters: int =
 def als_recommend(
     ratings: DataFrame, rank: int = 3, reg: float = 0.65, iters: int = 10, n: int = 10, users: DataFrame | None = None
 ) -> DataFrame:
-    """Best ``n`` items per user by factorised ratings, for all or for some users."""
-    model = als_model(ratings, rank, reg, iters)
-    found = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
-    return found.select("user_id", F.posexplode("recommendations").alias("_at", "r")).select(
-        F.col("user_id").cast("bigint"), F.col("r.item_id").cast("bigint").alias("item_id"),
+    """Best ``n`` items per user by factorised ratings, for all users or for those of ``users``.
+
+    The factorisation takes numbers of 32 bits; users and items of any id are numbered
+    densely before and named again after. For a few users name them: all users
+    means a score for every user and item.
+    """
+    numbered, user_ids, item_ids = dense_ids(ratings)
+    model = als_model(numbered, rank, reg, iters)
+    if users is None:
+        found = model.recommendForAllUsers(n)
+    else:
+        asked = user_ids.join(users.select(F.col("user_id").alias("_user")).distinct(), "_user").select("user_id")
+        found = model.recommendForUserSubset(asked, n)
+    best = found.select("user_id", F.posexplode("recommendations").alias("_at", "r")).select(
+        "user_id", F.col("r.item_id").alias("item_id"),
         (F.col("_at") + 1).cast("bigint").alias("rank"), F.col("r.rating").cast("double").alias("rating"),
     )
+    named = best.join(user_ids, "user_id").join(item_ids, "item_id")
+    return named.select(F.col("_user").alias("user_id"), F.col("_item").alias("item_id"), "rank", "rating")
+
+
+def dense_ids(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings with dense numbers for ids, and the numbers of users (``_user``) and items (``_item``)."""
+    users = number_rows(ratings.select(F.col("user_id").alias("_user")).distinct(), [("_user", "asc")], "user_id")
+    items = number_rows(ratings.select(F.col("item_id").alias("_item")).distinct(), [("_item", "asc")], "item_id")
+    users, items = (f.withColumn(c, F.col(c).cast("int")) for f, c in ((users, "user_id"), (items, "item_id")))
+    known = ratings.select(F.col("user_id").alias("_user"), F.col("item_id").alias("_item"), "rating")
+    return known.join(users, "_user").join(items, "_item").select("user_id", "item_id", "rating"), users, items
 
 
 def split_ratings(ratings: DataFrame, train: float = 0.95, seed: int = 1) -> tuple[DataFrame, DataFrame]:

@@ -1,37 +1,44 @@
-"""Ad counters over a stream of ad rows."""
+"""Ad counters and visit windows over streams, complete in every hour.
+
+Counts are sums, so each batch is counted on its own and batches are added up when they are read.
+Nothing waits for a watermark: the newest minute is there at once, and rows that
+arrive late, in whatever order, add to the minute they belong to.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendue.plans.events import COUNTER_KEYS, ad_counts, ad_dimensions
-
+from vendue.plans.events import COUNTER_KEYS, ad_counters
+from vendue.streaming.micro import merged, run_merged
 
-def ad_counters_stream(stream: DataFrame, window: str = "1 minute", watermark: str = "1 hour") -> DataFrame:
-    """Counters per tumbling window and key; a window is given out once the watermark has passed it.
-
-    Rows later than the watermark are left out, as rows after the hour's run were.
-    """
-    keys = [c for c in COUNTER_KEYS if c != "minute"]
-    rows = ad_dimensions(stream).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return rows.groupBy(F.window("ts", window).alias("_window"), *keys).agg(*ad_counts()).select(
-        F.col("_window.start").alias("minute"), *keys, *COUNTS
-    )
+COUNTS = [
+    "pv_count", "click_count", "view_count", "cart_count", "buy_count", "clip_count", "quick_count", "share_count",
+    "pop_count",
+]
+WINDOW_KEYS = ["from_ts", "to_ts", "visitor_id"]
 
 
-def sliding_counts(stream: DataFrame, length: str = "6 hours", slide: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
+def sliding_counts(rows: DataFrame, length: str = "6 hours", slide: str = "1 hour") -> DataFrame:
     """Visits per visitor in windows of ``length`` that start every ``slide``."""
     return (
-        stream.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", watermark)
+        rows.withColumn("ts", F.col("ts").cast("timestamp"))
         .groupBy(F.window("ts", length, slide).alias("_window"), "visitor_id")
         .agg(F.count(F.lit(1)).alias("visits"))
         .select(F.col("_window.start").alias("from_ts"), F.col("_window.end").alias("to_ts"), "visitor_id", "visits")
     )
 
 
-COUNTS = [
-    "pv_count", "click_count", "view_count", "cart_count", "buy_count", "clip_count", "quick_count", "share_count",
-    "pop_count",
-]
+def ad_counters_stream(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Take what has arrived, and give out the ad counters of everything taken so far."""
+    run_merged(stream, target, checkpoint, ad_counters)
+    return merged(stream.sparkSession, target, COUNTER_KEYS, COUNTS)
+
+
+def sliding_stream(
+    stream: DataFrame, target: str, checkpoint: str, length: str = "6 hours", slide: str = "1 hour"
+) -> DataFrame:
+    """Take what has arrived, and give out the visits per window of everything taken so far."""
+    run_merged(stream, target, checkpoint, lambda rows: sliding_counts(rows, length, slide))
+    return merged(stream.sparkSession, target, WINDOW_KEYS, ["visits"])

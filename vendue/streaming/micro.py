@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -42,3 +43,30 @@ def run_available(
     query = writer.trigger(availableNow=True).start(sink)
     query.awaitTermination()
     return query
+
+
+def run_merged(
+    stream: DataFrame, target: str, checkpoint: str, count: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
+    """Take all files that arrived since the last run and keep the counts of each batch in a folder of its own.
+
+    A batch that runs again after a failure overwrites its folder, so no row counts twice.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        count(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def merged(spark: SparkSession, target: str, keys: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """Counts of all batches, added up per key."""
+    rows = spark.read.parquet(target)
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
