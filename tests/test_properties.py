@@ -75,35 +75,27 @@ def hold(rng, users, items, big):
     return sorted(pairs)
 
 
-@pytest.mark.parametrize("measure", ["llr", "tanimoto"])
+@pytest.mark.parametrize("measure", ["llr", "tanimoto", "pearson", "euclidean"])
 @pytest.mark.parametrize("big", [1, 3])
-def test_large_users_by_class(spark, measure, big):
-    pairs = spark.createDataFrame(hold(random.Random(big), 40, 60, big), "user_id bigint, item_id bigint")
-    plain = item_similarity(pairs, 8, measure, large_user=10_000)
-    split = item_similarity(pairs, 8, measure, large_user=10)
-
-    def view(df):
-        return sorted((r["item_id"], r["rank"], r["similar_id"], round(r["value"], 9)) for r in df.collect())
-
-    assert view(plain) == view(split)
-
+def test_users_far_above_a_slice(spark, measure, big):
+    rng = random.Random(big)
+    data = [(u, i, float(rng.randrange(1, 6))) for u, i in hold(rng, 30, 40, big)]
+    data += data[:5] if measure in ("llr", "tanimoto") else []
+    pairs = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating double")
 
-@pytest.mark.parametrize("measure", ["llr", "pearson", "euclidean"])
-def test_sliced_users(spark, monkeypatch, measure):
-    from vendue.operators import similarity
+    def view(slice_items):
+        found = item_similarity(pairs, 8, measure, slice_items).collect()
+        return sorted((r["item_id"], r["rank"], r["similar_id"], round(r["value"], 9)) for r in found)
 
-    rng = random.Random(9)
-    data = [(u, i, float(rng.randrange(1, 6))) for u, i in hold(rng, 20, 30, 2)]
-    pairs = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating double")
+    assert view(1_000) == view(3)
 
-    def view(**kw):
-        found = item_similarity(pairs, 500, measure, **kw)
-        return sorted((r["item_id"], r["similar_id"], round(r["value"], 9)) for r in found.collect())
 
-    plain = view(large_user=10_000)
-    monkeypatch.setattr(similarity, "SLICE", 3)
-    monkeypatch.setattr(similarity, "MAX_LARGE_USERS", 1)
-    assert view(large_user=5) == plain
+def test_partners_of_some_items(spark):
+    pairs = spark.createDataFrame(hold(random.Random(5), 30, 20, 1), "user_id bigint, item_id bigint")
+    some = spark.createDataFrame([(3,), (3,), (7,)], "item_id bigint")
+    view = lambda df: sorted((r["item_id"], r["similar_id"], round(r["value"], 9)) for r in df.collect())
+    every = view(item_similarity(pairs, None))
+    assert view(item_similarity(pairs, None, items=some)) == [r for r in every if r[0] in (3, 7)]
 
 
 def test_llr_value(spark):
@@ -131,23 +123,29 @@ def test_blend_between(spark):
 
 
 def test_cascade(spark, rows):
-    schema = "item_id int, candidate int, rank int"
-    a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], schema)
-    b = spark.createDataFrame([(1, 11, 1), (1, 12, 2), (1, 13, 3), (2, 11, 1)], schema)
-    out = rc.recommend_cascade([("itembase", a), ("category", b)], 3)
-    assert rows(out, "item_id", "position", "candidate", "source") == [
-        (1, 1, 10, "itembase"), (1, 2, 11, "itembase"), (1, 3, 12, "category"), (2, 1, 11, "category")]
+    schema = "item_id int, site_no string, candidate int, rank int"
+    a = spark.createDataFrame([(1, "s", 10, 1), (1, "s", 11, 2), (1, "t", 11, 3)], schema)
+    b = spark.createDataFrame([(1, "s", 11, 1), (1, "s", 12, 2), (1, "s", 13, 3), (2, "s", 11, 1), (2, "u", 12, 1)], schema)
+    columns = ("item_id", "position", "site_no", "candidate", "source")
+    out = rc.recommend_cascade([("itembase", a), ("category", b)], 4)
+    assert rows(out, *columns) == [
+        (1, 1, "s", 10, "itembase"), (1, 2, "s", 11, "itembase"), (1, 3, "t", 11, "itembase"), (1, 4, "s", 12, "category"),
+        (2, 1, "s", 11, "category"), (2, 2, "u", 12, "category")]
+    out = rc.recommend_cascade([("itembase", a), ("category", b)], 3, ["s"])
+    assert rows(out, *columns) == [
+        (1, 1, "s", 10, "itembase"), (1, 2, "s", 11, "itembase"), (1, 3, "s", 12, "category"), (2, 1, "s", 11, "category")]
 
 
 def test_cascade_without_repeats(spark):
     rng = random.Random(5)
-    frames = []
+    frames, schema = [], "item_id int, site_no string, candidate int, rank int"
     for name in ("a", "b", "c"):
-        data = [(i, rng.randrange(40), r) for i in range(20) for r in range(1, 15)]
-        frames.append((name, spark.createDataFrame(data, "item_id int, candidate int, rank int").dropDuplicates(["item_id", "candidate"])))
+        data = [(i, rng.choice("st"), rng.randrange(40), r) for i in range(20) for r in range(1, 15)]
+        frames.append((name, spark.createDataFrame(data, schema).dropDuplicates(["item_id", "site_no", "candidate"])))
     out = rc.recommend_cascade(frames, 12)
-    per_item = out.groupBy("item_id").agg(F.count("*").alias("n"), F.countDistinct("candidate").alias("d")).collect()
-    assert all(r["n"] == r["d"] <= 12 for r in per_item)
+    found = F.countDistinct("candidate", "site_no").alias("d")
+    per_item = out.groupBy("item_id").agg(F.count("*").alias("n"), found).collect()
+    assert all(r["n"] == r["d"] == 12 for r in per_item)
 
 
 def test_copy_sites(spark, rows):

@@ -73,13 +73,15 @@ def clips(shop: Shop):
 def ranked_lists(shop: Shop, key: str):
     from vendue.operators.ranking import top_n_per_group
 
-    rows = shop.items().select("item_id", key).join(scores(shop), "item_id")
-    best = top_n_per_group(rows, [key], [("third_score", "desc"), ("item_id", "asc")], 30, "rank")
-    return best.select(key, F.col("item_id").alias("candidate"), "rank")
+    sold = shop.prices().select("item_id", "site_no").distinct()
+    rows = shop.items().select("item_id", key).join(scores(shop), "item_id").join(sold, "item_id")
+    best = top_n_per_group(rows, [key, "site_no"], [("third_score", "desc"), ("item_id", "asc")], 30, "rank")
+    return best.select(key, "site_no", F.col("item_id").alias("candidate"), "rank")
 
 
-def cascade(shop: Shop, limit: int = 30):
-    similar = llr(shop).select("item_id", F.col("similar_id").alias("candidate"), "rank")
+def cascade(shop: Shop, limit: int = 30, sites: list[str] | None = None):
+    sold = shop.prices().select(F.col("item_id").alias("similar_id"), "site_no").distinct()
+    similar = llr(shop).join(sold, "similar_id").select("item_id", "site_no", F.col("similar_id").alias("candidate"), "rank")
     items = shop.items()
     return rc.recommend_cascade(
         [
@@ -88,9 +90,15 @@ def cascade(shop: Shop, limit: int = 30):
             ("brand", rc.list_for_items(items, ranked_lists(shop, "brand_id"), "brand_id", limit)),
         ],
         limit,
+        sites,
     )
 
 
+def some_sites(shop: Shop) -> list[str]:
+    """The first two sites; a shop has a handful."""
+    return [r[0] for r in shop.prices().select("site_no").distinct().orderBy("site_no").limit(2).collect()]
+
+
 def order_state(shop: Shop):
     return shop.order_lines().groupBy("member_id", "site_no").agg(
         F.countDistinct("order_no").alias("order_count"))
@@ -102,13 +110,14 @@ def new_orders(shop: Shop):
 
 
 def prediction(shop: Shop):
-    return rc.predict_item_based(llr(shop, 10), shop.ratings()).withColumn("prediction", F.round("prediction", 4))
+    return rc.predict_item_based(llr(shop, None), shop.ratings()).withColumn("prediction", F.round("prediction", 4))
 
 
 def item_based_error(shop: Shop):
     def fit(known, held):
-        sim = item_similarity(known.select("user_id", "item_id"), 50)
-        return rc.predict_item_based(sim, known)
+        asked = known.join(held.select("user_id").distinct(), "user_id", "left_semi")
+        sim = item_similarity(known.select("user_id", "item_id"), None, items=asked.select("item_id"))
+        return rc.predict_item_based(sim, asked)
 
     return rc.evaluate_mae(shop.ratings(), fit)
 
@@ -138,10 +147,10 @@ QUERIES = {
     "interactions": lambda s: rc.interactions(
         s.clicks().withColumn("hour", F.date_trunc("hour", "ts")), "visitor_id", "item_id", "hour"),
     "item_similarity": lambda s: rounded(llr(s)),
-    "item_similarity_large_users": lambda s: rounded(llr(s, large_user=13)),
-    "item_similarity_tanimoto": lambda s: rounded(llr(s, 1000, measure="tanimoto")).drop("rank"),
-    "item_similarity_pearson": lambda s: rounded(item_similarity(s.ratings(), 10_000, "pearson")).drop("rank"),
-    "item_similarity_euclidean": lambda s: rounded(item_similarity(s.ratings(), 10_000, "euclidean")).drop("rank"),
+    "item_similarity_large_users": lambda s: rounded(llr(s, slice_items=13)),
+    "item_similarity_tanimoto": lambda s: rounded(llr(s, measure="tanimoto")),
+    "item_similarity_pearson": lambda s: rounded(item_similarity(s.ratings(), 20, "pearson")),
+    "item_similarity_euclidean": lambda s: rounded(item_similarity(s.ratings(), 20, "euclidean")),
     "predict_item_based": prediction,
     "categorise": lambda s: rounded(categorised(s)),
     "blend_scores": lambda s: rounded(rc.blend_scores(categorised(s, "view"), categorised(s, "click"))),
@@ -155,6 +164,7 @@ QUERIES = {
         "brand_id", "entry_count",
         F.concat_ws(";", F.transform("entries", lambda e: F.concat_ws(":", e["kind"], e["rank"], e["id"]))).alias("entries")),
     "recommend_cascade": cascade,
+    "recommend_cascade_sites": lambda s: cascade(s, 10, some_sites(s)),
     "member_orders": lambda s: rc.member_orders(order_state(s)),
     "add_orders": lambda s: rc.add_orders(order_state(s), new_orders(s)),
     "item_master": lambda s: rc.item_master(s.items()),
@@ -204,13 +214,15 @@ def _sim(kind: str) -> dict[str, str]:
 
 def _ranked(key: str) -> str:
     return f"""
-        SELECT {key}, item_id AS candidate, row_number() OVER (PARTITION BY {key} ORDER BY third_score DESC, item_id) AS rank
-        FROM v_item JOIN r_score USING (item_id) QUALIFY rank <= 30"""
+        SELECT {key}, site_no, item_id AS candidate,
+               row_number() OVER (PARTITION BY {key}, site_no ORDER BY third_score DESC, item_id) AS rank
+        FROM v_item JOIN r_score USING (item_id) JOIN r_sold USING (item_id) QUALIFY rank <= 30"""
 
 
 _STEPS = {
     **_sim("view"),
     **_sim("click"),
+    "r_sold": "SELECT DISTINCT item_id, site_no FROM v_price",
     "r_score": "SELECT l_partkey AS item_id, CAST(count(*) AS DOUBLE) AS third_score FROM lineitem GROUP BY l_partkey",
     "r_basket": """
         SELECT DISTINCT order_no, item_id FROM v_order_line JOIN v_item USING (item_id)
@@ -271,9 +283,10 @@ _STEPS = {
     "r_in_category": _ranked("category_id"),
     "r_in_brand": _ranked("brand_id"),
     "r_source": """
-        SELECT item_id, similar_id AS candidate, 0 AS src, rank, 'itembase' AS source FROM r_view_top
-        UNION ALL SELECT i.item_id, candidate, 1, rank, 'category' FROM v_item i JOIN r_in_category c ON i.category_id = c.category_id
-        UNION ALL SELECT i.item_id, candidate, 2, rank, 'brand' FROM v_item i JOIN r_in_brand b ON i.brand_id = b.brand_id""",
+        SELECT t.item_id, site_no, similar_id AS candidate, 0 AS src, rank, 'itembase' AS source
+        FROM r_view_top t JOIN r_sold d ON t.similar_id = d.item_id
+        UNION ALL SELECT i.item_id, site_no, candidate, 1, rank, 'category' FROM v_item i JOIN r_in_category c ON i.category_id = c.category_id
+        UNION ALL SELECT i.item_id, site_no, candidate, 2, rank, 'brand' FROM v_item i JOIN r_in_brand b ON i.brand_id = b.brand_id""",
     "r_state": "SELECT member_id, site_no, count(DISTINCT order_no) AS order_count FROM v_order_line GROUP BY member_id, site_no",
 }
 
@@ -282,6 +295,14 @@ def _sql(body: str) -> str:
     return with_views(body, _STEPS)
 
 
+def _cascade(limit: int, where: str = "") -> str:
+    return f"""
+        SELECT item_id, site_no, candidate, source,
+               row_number() OVER (PARTITION BY item_id ORDER BY src, rank, candidate, site_no) AS position
+        FROM (SELECT * FROM r_source {where} QUALIFY row_number() OVER (PARTITION BY item_id, site_no, candidate ORDER BY src) = 1)
+        QUALIFY position <= {limit}"""
+
+
 _FIGURES = "support, confidence, lift, conviction"
 _TOP = "SELECT item_id, similar_id, round(value, 6) AS value, rank FROM r_view_top"
 
@@ -311,20 +332,25 @@ SQL = {
         FROM (SELECT visitor_id, item_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM v_click GROUP BY ALL)"""),
     "item_similarity": _sql(_TOP),
     "item_similarity_large_users": _sql(_TOP),
-    "item_similarity_tanimoto": _sql(
-        "SELECT item_id, similar_id, round(CAST(k11 AS DOUBLE) / (na + nb - k11), 6) AS value FROM r_view_pair"),
+    "item_similarity_tanimoto": _sql("""
+        SELECT item_id, similar_id, round(v, 6) AS value, row_number() OVER (PARTITION BY item_id ORDER BY v DESC, similar_id) AS rank
+        FROM (SELECT item_id, similar_id, CAST(k11 AS DOUBLE) / (na + nb - k11) AS v FROM r_view_pair) QUALIFY rank <= 20"""),
     "item_similarity_pearson": _sql("""
-        SELECT a.item_id, b.item_id AS similar_id, round(corr(a.rating, b.rating), 6) AS value
-        FROM r_rating a JOIN r_rating b ON a.user_id = b.user_id AND a.item_id <> b.item_id
-        GROUP BY a.item_id, b.item_id HAVING count(*) > 1"""),
+        SELECT item_id, similar_id, round(v, 6) AS value, row_number() OVER (PARTITION BY item_id ORDER BY v DESC, similar_id) AS rank
+        FROM (SELECT a.item_id, b.item_id AS similar_id, round(corr(a.rating, b.rating), 9) AS v
+              FROM r_rating a JOIN r_rating b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+              GROUP BY a.item_id, b.item_id HAVING count(*) > 1)
+        WHERE v IS NOT NULL AND NOT isnan(v) QUALIFY rank <= 20"""),
     "item_similarity_euclidean": _sql("""
-        SELECT a.item_id, b.item_id AS similar_id,
-               round(1 / (1 + sqrt(sum((a.rating - b.rating) * (a.rating - b.rating))) / sqrt(count(*))), 6) AS value
-        FROM r_rating a JOIN r_rating b ON a.user_id = b.user_id AND a.item_id <> b.item_id
-        GROUP BY a.item_id, b.item_id"""),
+        SELECT item_id, similar_id, round(v, 6) AS value, row_number() OVER (PARTITION BY item_id ORDER BY v DESC, similar_id) AS rank
+        FROM (SELECT a.item_id, b.item_id AS similar_id,
+                     round(1 / (1 + sqrt(sum((a.rating - b.rating) * (a.rating - b.rating))) / sqrt(count(*))), 9) AS v
+              FROM r_rating a JOIN r_rating b ON a.user_id = b.user_id AND a.item_id <> b.item_id
+              GROUP BY a.item_id, b.item_id)
+        QUALIFY rank <= 20"""),
     "predict_item_based": _sql("""
-        SELECT user_id, s.similar_id AS item_id, round(sum(value * rating) / sum(value), 4) AS prediction
-        FROM r_rating r JOIN r_view_top s ON r.item_id = s.item_id AND s.rank <= 10
+        SELECT user_id, s.similar_id AS item_id, round(sum(value * rating) / nullif(sum(value), 0), 4) AS prediction
+        FROM r_rating r JOIN r_view_sim s ON r.item_id = s.item_id
         WHERE (user_id, s.similar_id) NOT IN (SELECT (user_id, item_id) FROM r_rating)
         GROUP BY user_id, s.similar_id"""),
     "categorise": _sql("SELECT * REPLACE (round(value, 6) AS value) FROM r_view_cat"),
@@ -353,10 +379,8 @@ SQL = {
         SELECT brand_id, count(*) AS entry_count,
                string_agg(kind || ':' || CAST(rank AS VARCHAR) || ':' || id, ';' ORDER BY kind, rank, id) AS entries
         FROM r_clip WHERE rank <= 10 GROUP BY brand_id"""),
-    "recommend_cascade": _sql("""
-        SELECT item_id, candidate, source, row_number() OVER (PARTITION BY item_id ORDER BY src, rank, candidate) AS position
-        FROM (SELECT * FROM r_source QUALIFY row_number() OVER (PARTITION BY item_id, candidate ORDER BY src) = 1)
-        QUALIFY position <= 30"""),
+    "recommend_cascade": _sql(_cascade(30)),
+    "recommend_cascade_sites": _sql(_cascade(10, "WHERE site_no IN (SELECT site_no FROM r_sold GROUP BY ALL ORDER BY site_no LIMIT 2)")),
     "member_orders": _sql("""
         SELECT member_id, site_no, order_count FROM r_state
         UNION ALL SELECT member_id, 'TOTAL', CAST(sum(order_count) AS BIGINT) FROM r_state GROUP BY member_id"""),

@@ -1,10 +1,9 @@
-"""Item-item similarity over user-item pairs: exact, without listing all pairs of the largest users.
+"""Item-item similarity over user-item pairs, exact for users of any size.
 
-Users with few items are self-joined; each of their rows gives a bounded number of
-pairs. The largest users are never expanded. Items that the same large users
-hold, and that equally many users hold in all, are alike towards every item they
-share no other user with, so such pairs are scored once per class of items and
-the best members are read off per item.
+The items of a user are cut into slices, and every pair of slices is a task's share
+of its own, so one user's pairs spread evenly however many items it has. Users per pair
+are added up before they are shuffled. The number of pairs still grows with the square
+of a user's items, as the measures are defined over all of them.
 """
 
 from __future__ import annotations
@@ -12,18 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendue.operators.ranking import position, small_or_plain, top_n_per_group
+from vendue.operators.ranking import small_or_plain, top_n_per_group
 from vendue.session import pin
 
-# Users with more items count as large; of those, so many of the largest are kept out of the self-join.
-LARGE_USER = 500
-MAX_LARGE_USERS = 1_000
-
-# Items of one user that one task pairs with all items of that user.
+# Items of a slice of one user; a task pairs two slices.
 SLICE = 1_000
 
 ORDER = [("value", "desc"), ("similar_id", "asc")]
 
+# Decimals of rating similarities, so that values that are equal but for rounding are ties.
+DIGITS = 9
+
 
 def _x_log_x(x: Column) -> Column:
     return F.when(x > 0, x * F.ln(x)).otherwise(F.lit(0.0))
@@ -59,63 +57,37 @@ COUNT_MEASURES = {"llr": llr_similarity, "tanimoto": tanimoto_similarity}
 
 
 def item_similarity(
-    pairs: DataFrame, n: int, measure: str = "llr", large_user: int = LARGE_USER
+    pairs: DataFrame, n: int | None, measure: str = "llr", slice_items: int = SLICE, items: DataFrame | None = None
 ) -> DataFrame:
-    """The ``n`` most similar items of each item, from (user_id, item_id) rows."""
+    """The ``n`` most similar items of each item with their rank, from (user_id, item_id) rows.
+
+    Without ``n`` every pair with a user in common is returned, without a rank; ``items``
+    (item_id) then names the items whose partners are asked for.
+    """
     if measure in RATING_MEASURES:
-        return rating_similarity(pairs, n, measure)
-    score = COUNT_MEASURES[measure]
+        return rating_similarity(pairs, n, measure, slice_items, items)
     held = pin(pairs.select("user_id", "item_id").distinct())
     users = held.select(F.countDistinct("user_id")).first()[0]
     item_users = small_or_plain(held.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users")))
-    large = pin(
-        held.groupBy("user_id")
-        .count()
-        .where(F.col("count") > large_user)
-        .orderBy(F.col("count").desc(), "user_id")
-        .limit(MAX_LARGE_USERS)
-        .select("user_id")
-    )
-    if large.isEmpty():
-        counted = _pair_counts(held, sliced=False)
-        return _best(_score(counted, item_users, score, users), n)
-
-    # at most MAX_LARGE_USERS rows
-    large = F.broadcast(large)
-    small_pairs = pin(_pair_counts(held.join(large, "user_id", "left_anti"), sliced=True))
-    signs = (
-        held.join(large, "user_id", "left_semi")
-        .groupBy("item_id")
-        .agg(F.array_sort(F.collect_set("user_id")).alias("sign"))
-    )
-    signed = pin(item_users.join(signs, "item_id", "left"))
-    direct = _score(_add_large(small_pairs, signed), item_users, score, users)
-    indirect = _class_candidates(small_pairs, signed, score, users, n)
-    return _best(direct.unionByName(indirect), n)
+    counted = item_pairs(held, slice_items, items).groupBy("item_id", "similar_id").agg(F.count(F.lit(1)).alias("both"))
+    return _best(_score(counted, item_users, COUNT_MEASURES[measure], users), n)
 
 
-def item_pairs(held: DataFrame, sliced: bool = True, **values: str) -> DataFrame:
+def item_pairs(held: DataFrame, slice_items: int = SLICE, items: DataFrame | None = None, **values: str) -> DataFrame:
     """Ordered pairs of a user's items, with a value column of each side under new names.
 
-    ``sliced`` cuts the items of a user into slices, so that no task gets a whole large user.
+    ``items`` limits the first item of the pairs. Both sides of a user are cut into slices
+    of about ``slice_items`` items.
     """
     named = [F.col(source).alias(name) for name, source in values.items()]
-    left = held.select("user_id", "item_id", *named[:1])
-    right = held.select("user_id", F.col("item_id").alias("similar_id"), *named[1:])
-    keys = ["user_id"]
-    if sliced:
-        sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / SLICE) + 1).alias("_slices"))
-        left = left.join(sizes, "user_id").withColumn("_slice", F.pmod(F.xxhash64("item_id"), "_slices")).drop("_slices")
-        right = right.join(sizes, "user_id").withColumn(
-            "_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))
-        ).drop("_slices")
-        keys = ["user_id", "_slice"]
-    return left.join(right, keys).where(F.col("item_id") != F.col("similar_id"))
-
-
-def _pair_counts(held: DataFrame, sliced: bool) -> DataFrame:
-    """Users per ordered pair of items."""
-    return item_pairs(held, sliced).groupBy("item_id", "similar_id").agg(F.count(F.lit(1)).alias("both"))
+    sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / slice_items) + 1).alias("_slices"))
+    cut = held.join(sizes, "user_id")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))
+    own = F.pmod(F.xxhash64("item_id"), "_slices")
+    first = cut if items is None else cut.join(items.select("item_id").distinct(), "item_id", "left_semi")
+    left = first.select("user_id", "item_id", *named[:1], own.alias("_a"), every.alias("_b"))
+    right = cut.select("user_id", F.col("item_id").alias("similar_id"), *named[1:], own.alias("_b"), every.alias("_a"))
+    return left.join(right, ["user_id", "_a", "_b"]).where(F.col("item_id") != F.col("similar_id"))
 
 
 def _score(counted: DataFrame, item_users: DataFrame, score, users: int) -> DataFrame:
@@ -126,72 +98,8 @@ def _score(counted: DataFrame, item_users: DataFrame, score, users: int) -> Data
     )
 
 
-def _best(scored: DataFrame, n: int) -> DataFrame:
-    return top_n_per_group(scored, ["item_id"], ORDER, n, "rank")
-
-
-def _add_large(small_pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Add the large users of both items to the counts of pairs that small users make."""
-    first = signed.select("item_id", "sign")
-    second = signed.select(F.col("item_id").alias("similar_id"), F.col("sign").alias("sign2"))
-    shared = F.coalesce(F.size(F.array_intersect("sign", "sign2")), F.lit(0))
-    shared = F.when(F.col("sign").isNull() | F.col("sign2").isNull(), F.lit(0)).otherwise(shared)
-    return small_pairs.join(first, "item_id").join(second, "similar_id").select(
-        "item_id", "similar_id", (F.col("both") + shared).alias("both")
-    )
-
-
-def _class_candidates(small_pairs: DataFrame, signed: DataFrame, score, users: int, n: int) -> DataFrame:
-    """Best partners of each item among those it shares large users with, and no small user."""
-    partners = small_pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("partners"))
-    members = (
-        signed.where(F.col("sign").isNotNull())
-        .withColumn("class_id", F.sha2(F.to_json(F.struct("sign", "n_users")), 256))
-        .join(partners, "item_id", "left")
-        .withColumn("partners", F.coalesce("partners", F.lit(0)))
-    )
-    classes = pin(
-        members.groupBy("sign", "n_users").agg(
-            F.min("class_id").alias("class_id"), F.max("partners").alias("partners")
-        )
-    )
-    by_user = classes.select("class_id", F.explode("sign").alias("user_id"))
-    other = by_user.select("user_id", F.col("class_id").alias("class2"))
-    shared = by_user.join(other, "user_id").groupBy("class_id", "class2").agg(F.count(F.lit(1)).alias("both"))
-    first = classes.select("class_id", "n_users", "partners")
-    second = classes.select(F.col("class_id").alias("class2"), F.col("n_users").alias("n_similar"))
-    value = score(F.col("both"), F.col("n_users"), F.col("n_similar"), F.lit(float(users)))
-    # an item skips itself and its partners by small users, so that many more are needed
-    needed = F.col("partners") + n + 1
-    class_pairs = (
-        shared.join(first, "class_id").join(second, "class2")
-        .select("class_id", "class2", value.alias("value"), needed.alias("needed"))
-    )
-    reach = class_pairs.groupBy("class2").agg(F.max("needed").alias("reach"))
-    listed = members.select(F.col("class_id").alias("class2"), F.col("item_id").alias("similar_id"))
-    ranked = _rank_members(listed).join(reach, "class2").where(F.col("at") <= F.col("reach")).drop("reach")
-    offered = class_pairs.join(ranked, "class2").where(F.col("at") <= F.col("needed"))
-    best = (
-        _rank_offers(offered)
-        .where(F.col("at") <= F.col("needed"))
-        .select("class_id", "similar_id", "value")
-    )
-    return (
-        members.select("item_id", "class_id")
-        .join(best, "class_id")
-        .where(F.col("item_id") != F.col("similar_id"))
-        .join(small_pairs.select("item_id", "similar_id"), ["item_id", "similar_id"], "left_anti")
-        .select("item_id", "similar_id", "value")
-    )
-
-
-def _rank_members(listed: DataFrame) -> DataFrame:
-    return position(pin(listed), [("similar_id", "asc")], ["class2"], "at")
-
-
-def _rank_offers(offered: DataFrame) -> DataFrame:
-    offers = pin(offered.select("class_id", "similar_id", "value", "needed"))
-    return position(offers, ORDER, ["class_id"], "at")
+def _best(scored: DataFrame, n: int | None) -> DataFrame:
+    return scored if n is None else top_n_per_group(scored, ["item_id"], ORDER, n, "rank")
 
 
 # Ratings -------------------------------------------------------------------
@@ -199,7 +107,9 @@ def _rank_offers(offered: DataFrame) -> DataFrame:
 RATING_MEASURES = ("pearson", "euclidean")
 
 
-def rating_similarity(ratings: DataFrame, n: int, measure: str) -> DataFrame:
+def rating_similarity(
+    ratings: DataFrame, n: int | None, measure: str, slice_items: int = SLICE, items: DataFrame | None = None
+) -> DataFrame:
     """Similarity of the ratings users gave to both items.
 
     Needs the sums of every pair, so work grows with the square of a user's items.
@@ -207,7 +117,7 @@ def rating_similarity(ratings: DataFrame, n: int, measure: str) -> DataFrame:
     held = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
     x, y = F.col("x"), F.col("y")
     sums = (
-        item_pairs(held, x="rating", y="rating")
+        item_pairs(held, slice_items, items, x="rating", y="rating")
         .groupBy("item_id", "similar_id")
         .agg(
             F.count(F.lit(1)).alias("both"),
@@ -221,5 +131,5 @@ def rating_similarity(ratings: DataFrame, n: int, measure: str) -> DataFrame:
     else:
         # missing where one side's ratings are all alike
         value = F.when(F.col("both") > 1, F.try_divide("shared", "spread"))
-    scored = sums.select("item_id", "similar_id", value.alias("value")).where(F.col("value").isNotNull())
+    scored = sums.select("item_id", "similar_id", F.round(value, DIGITS).alias("value")).where(F.col("value").isNotNull())
     return _best(scored, n)

@@ -306,27 +306,42 @@ def clip_lists(clip: DataFrame, per_kind: int = PAGE_ROWS) -> DataFrame:
 
 
 def list_for_items(items: DataFrame, ranked: DataFrame, key: str, limit: int) -> DataFrame:
-    """Candidates of each item's category or brand, by rank; ``ranked`` has the key, candidate and rank."""
-    short = top_n_per_group(ranked.select(key, "candidate", "rank"), [key], [("rank", "asc"), ("candidate", "asc")], limit, "_at")
-    return items.select("item_id", key).join(small_or_plain(short), key).select("item_id", "candidate", F.col("_at").alias("rank"))
+    """Candidates of each item's category or brand on every site, by rank.
 
+    ``ranked`` has the key, site_no, candidate and rank; the candidate is sold on that site.
+    """
+    rows = ranked.select(key, "site_no", "candidate", "rank")
+    short = top_n_per_group(rows, [key, "site_no"], [("rank", "asc"), ("candidate", "asc")], limit, "_at")
+    return items.select("item_id", key).join(small_or_plain(short), key).select(
+        "item_id", "site_no", "candidate", F.col("_at").alias("rank")
+    )
 
-def recommend_cascade(sources: Sequence[tuple[str, DataFrame]], limit: int = CASCADE_ROWS) -> DataFrame:
-    """Candidates per item: those of the first source, then the next, until the limit.
 
-    Each source has item_id, candidate and rank. A candidate counts once, for the
-    first source that names it.
+def recommend_cascade(
+    sources: Sequence[tuple[str, DataFrame]], limit: int = CASCADE_ROWS, sites: Sequence[str] | None = None
+) -> DataFrame:
+    """Candidates per item on the sites asked for (all by default): first source, then the next, until the limit.
+
+    Each source has item_id, site_no, candidate and rank. A candidate counts once for a
+    site, for the first source that names it there; the limit is per item over the sites.
     """
     stacked = None
     for at, (name, frame) in enumerate(sources):
-        cut = top_n_per_group(
-            frame.select("item_id", "candidate", "rank"), ["item_id"], [("rank", "asc"), ("candidate", "asc")], limit, "_at"
-        ).select("item_id", "candidate", F.struct(F.lit(at).alias("at"), F.col("_at").alias("rank"), F.lit(name).alias("source")).alias("place"))
+        if sites is not None:
+            frame = frame.where(F.col("site_no").isin(list(sites)))
+        # what earlier sources name as well is in the result anyhow, so ``limit`` of each source are enough
+        rows = frame.select("item_id", "site_no", "candidate", "rank")
+        first = [("rank", "asc"), ("candidate", "asc"), ("site_no", "asc")]
+        cut = top_n_per_group(rows, ["item_id"], first, limit, "_at").select(
+            "item_id", "site_no", "candidate",
+            F.struct(F.lit(at).alias("at"), F.col("rank").cast("bigint").alias("rank"), F.lit(name).alias("source")).alias("place"),
+        )
         stacked = cut if stacked is None else stacked.unionByName(cut)
-    once = stacked.groupBy("item_id", "candidate").agg(F.min("place").alias("place"))
-    flat = once.select("item_id", "candidate", "place.at", F.col("place.rank").alias("_rank"), "place.source")
-    best = top_n_per_group(flat, ["item_id"], [("at", "asc"), ("_rank", "asc"), ("candidate", "asc")], limit, "position")
-    return best.select("item_id", "candidate", "source", "position")
+    once = stacked.groupBy("item_id", "site_no", "candidate").agg(F.min("place").alias("place"))
+    flat = once.select("item_id", "site_no", "candidate", "place.at", F.col("place.rank").alias("_rank"), "place.source")
+    order = [("at", "asc"), ("_rank", "asc"), ("candidate", "asc"), ("site_no", "asc")]
+    best = top_n_per_group(flat, ["item_id"], order, limit, "position")
+    return best.select("item_id", "site_no", "candidate", "source", "position")
 
 
 # Orders per member ---------------------------------------------------------------
