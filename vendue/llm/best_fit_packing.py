@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendue.llm.common import stored
+from vendue.llm.common import small_batches, stored
 
 CAPACITY = 2048
 END_ID = 0
@@ -94,6 +94,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: boo
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out if keep_ids else out.drop(columns="ids")
 
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return docs.mapInPandas(run, PIECES + (", ids array<long>" if keep_ids else ""))
 

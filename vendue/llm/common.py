@@ -29,6 +29,16 @@ def split_words(text: str | None) -> list[bytes]:
     return raw_bytes(text).lower().split()
 
 
+#: Rows and bytes of an Arrow batch of texts. Python holds one batch a task, so texts of any length fit.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of bounded size; plans made later in the session keep to it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path under the checkpoint folder that driver and executors share."""
     ensure_checkpoint_dir(spark)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendue.llm.common import raw_bytes, stored
+from vendue.llm.common import raw_bytes, small_batches, stored
 
 WINDOW = 13
 #: Words of benchmark items in one automaton; more items make more blocks, each a pass.
@@ -263,6 +263,7 @@ def find_test_items(
     The items go to the tasks in blocks of ``block_words``, whatever their number; each
     block is a further pass over the text column within the same scan, no shuffle.
     """
+    small_batches(docs.sparkSession)
     out, names = docs.drop("__found"), []
     for number, (packed, block) in enumerate(_blocks(items, block_words)):
         data = packed.where(F.col("block") == block).select("data").first()[0]

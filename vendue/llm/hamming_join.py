@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendue.llm.common import components, raw_bytes, stored
+from vendue.llm.common import components, raw_bytes, small_batches, stored
 
 #: 19 chunks of 5 values with one error each: every pair with up to 37 of 95 values apart is
 #: found. At a similarity of 0.8 one pair in 100,000 is further apart than that.
@@ -256,6 +256,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
 
 def _judged(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id`` of every row."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stored(_measure(docs, shingle_words), "signatures")
     classes = stored(_classes(rows), "classes")

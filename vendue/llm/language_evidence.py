@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendue.llm.common import raw_bytes, stored
+from vendue.llm.common import raw_bytes, small_batches, stored
 from vendue.llm.url_rules import host_and_path
 
 #: Labelled texts per language that the model is fitted on: those with the smallest hashes of their ids.
@@ -120,6 +120,7 @@ def evidence(pages: DataFrame, model: TextModel) -> DataFrame:
             rows = [(declared(p), model.log_likelihoods(visible_text(p))) for p in part]
             yield pd.DataFrame(rows, columns=["declared", "logs"])
 
+    small_batches(pages.sparkSession)
     host = host_and_path(F.col("url"))[0]
     own = F.pandas_udf(read, "declared string, logs array<double>")("html")
     rows = pages.select("page_id", F.regexp_replace(host, r"^.*@|:\d*$", "").alias("host"), own.alias("own"))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendue.llm.common import SPACES, raw_bytes
+from vendue.llm.common import SPACES, raw_bytes, small_batches
 
 SYMBOLS = "#*$%&|<>"
 
@@ -149,6 +149,7 @@ def measure(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     Null and empty texts have no words and fail as too short. Null ids and repeated rows stay;
     other columns are not carried.
     """
+    small_batches(docs.sparkSession)
     rules = rules or default_rules()
     ordered = order_rules(docs, rules)
     base = [r for r in ordered if r.base]
@@ -170,6 +171,7 @@ def measure(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """The rows that no rule rejects, columns as they are; the cascade stops at the first rejection."""
+    small_batches(docs.sparkSession)
     ordered = order_rules(docs, rules or default_rules())
 
     @F.pandas_udf("boolean")

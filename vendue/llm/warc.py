@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendue.llm.common import raw_bytes, shared_folder, stored
+from vendue.llm.common import raw_bytes, shared_folder, small_batches, stored
 
 #: A new archive file begins when one has this many bytes.
 ARCHIVE_BYTES = 256 << 20
@@ -209,6 +209,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, da
     a third of all rows share is reduced before the shuffle and joined by a splittable join.
     A task that runs again writes files of its own; the returned table names those that count.
     """
+    small_batches(pages.sparkSession)
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html"))
     # the digest is taken where rows are read, the text itself is moved only once
     keyed = pages.withColumn("key", F.sha2("html", 256))
