@@ -152,6 +152,9 @@ def test_store(spark, tmp_path, rows):
     store.upsert("keyed", first, ["id"], datetime(2024, 1, 1))
     store.upsert("keyed", spark.createDataFrame([(2, "new"), (3, None)], "id int, name string"), ["id"], datetime(2024, 1, 2))
     assert rows(store.read("keyed", ["id", "name"]), "id", "name") == [("1", "a"), ("2", "new"), ("3", "")]
+    for name in ("again", "again", "once more"):  # the same time: the load that comes last wins
+        store.upsert("keyed", spark.createDataFrame([(2, name)], "id int, name string"), ["id"], datetime(2024, 1, 2))
+        assert rows(store.read("keyed", ["id", "name"]), "id", "name")[1] == ("2", name)
     store.copy("keyed", "copied")
     assert store.read("copied").count() == 3
 
@@ -170,3 +173,8 @@ def test_log_folder_as_stream(spark, tmp_path, rows):
     run()
     run()
     assert rows(spark.read.parquet(out), "visitor_id", "dt") == [("a", date(2024, 1, 1)), ("b", date(2024, 1, 2))]
+
+
+def test_no_day_there(spark, tmp_path):
+    put(tmp_path, "\\|".join(["d", *"abcdef", "s"]), "2023-01-01")
+    assert src.read_latest_days(spark, str(tmp_path), RUN).count() == 0

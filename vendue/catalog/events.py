@@ -112,6 +112,16 @@ def attributed_orders(shop: Shop):
     return orders_with_attribution(orders, attribution_of_carts(shop), ["item_id", "cart_id"])
 
 
+def orders_as_of(shop: Shop):
+    """Order lines, each fourth without a cart and each fifth twice, with the attribution before a day of their own."""
+    lines = shop.order_lines().withColumn("copy", F.explode(F.when(F.col("order_no") % 5 == 0, F.array(F.lit(1), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    orders = lines.select(
+        "order_no", "line_no", "item_id", F.when(F.col("order_no") % 4 != 0, F.col("order_no") % 3).alias("cart_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(order_no % 40))").alias("order_ts"),
+    )
+    return orders_with_attribution(orders, attribution_of_carts(shop), ["item_id", "cart_id"], not_after="order_ts")
+
+
 def page_set(shop: Shop, kind: str):
     rows = shop.events().where(F.col("event_type") == kind)
     k = F.col("k")
@@ -161,6 +171,7 @@ QUERIES = {
     "ad_counters": lambda s: ev.ad_counters(s.ad_rows()),
     "ad_contribution": lambda s: ev.ad_contribution(contribution_orders(s)),
     "orders_with_attribution": attributed_orders,
+    "orders_with_attribution_as_of": orders_as_of,
     "merge_full": totals,
     "merge_page_sets": merged_pages,
     "click_area": lambda s: s.table("pages").select(
@@ -269,6 +280,15 @@ SQL = {
     "attribute_last_touch": _touch(6),
     "attribute_last_touch_split": _touch(6),
     "attribute_one_day": _touch(24),
+    "orders_with_attribution_as_of": with_views("""
+        SELECT order_no, line_no, item_id, cart_id, order_ts, cart_ts, page_id FROM (
+            SELECT o.*, a.cart_ts, a.page_id,
+                   row_number() OVER (PARTITION BY o.r ORDER BY a.cart_ts DESC NULLS LAST, a.page_id DESC) AS back
+            FROM (SELECT row_number() OVER () AS r, order_no, line_no, item_id, CASE WHEN order_no % 4 <> 0 THEN order_no % 3 END AS cart_id,
+                         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(order_no % 40 AS INTEGER)) AS order_ts
+                  FROM v_order_line JOIN (SELECT unnest([1, 2]) AS copy) ON copy = 1 OR order_no % 5 = 0) o
+            LEFT JOIN t_attr a ON a.item_id = o.item_id AND a.cart_id = o.cart_id AND a.cart_ts <= o.order_ts)
+        WHERE back = 1""", _ATTR),
     "explode_cart": with_views(_CART_LINES),
     "explode_orders": with_views("""
         SELECT CAST(order_no AS VARCHAR) AS order_no, line_no, CAST(item_id AS VARCHAR) AS item_id,

@@ -68,11 +68,17 @@ class Store:
         self.swap(name, df, load_ts)
 
     def upsert(self, name: str, df: DataFrame, keys: Sequence[str], load_ts: datetime) -> None:
-        """Rows replace those of equal key; others stay. Rows carry the time of their load."""
-        stamped = df.withColumn("load_ts", F.lit(load_ts).cast("timestamp"))
+        """Rows replace those of equal key; others stay. Rows carry the time of their load.
+
+        Of equal times the load that comes now wins, and of equal keys within a load the row
+        with the largest hash over its columns, so a repeated load gives the same table.
+        """
+        content = F.xxhash64(*df.columns)
+        stamped = df.withColumn("load_ts", F.lit(load_ts).cast("timestamp")).withColumn("_rank", F.struct(F.lit(1).alias("load"), content.alias("row")))
         if self.exists(name):
-            stamped = self.read(name).unionByName(stamped)
-        self.swap(name, latest_per_key(stamped, keys, "load_ts", ties="load_ts"), load_ts)
+            before = self.read(name).withColumn("_rank", F.struct(F.lit(0).alias("load"), content.alias("row")))
+            stamped = before.unionByName(stamped)
+        self.swap(name, latest_per_key(stamped, keys, "load_ts", ties="_rank").drop("_rank"), load_ts)
 
     def copy(self, source: str, target: str) -> None:
         """Copy of a table under another name."""

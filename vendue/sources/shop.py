@@ -7,9 +7,9 @@ columns, which the click readers narrow.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import date
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -375,12 +375,17 @@ def latest_days(rows: DataFrame, run: RunWindow, want: int = 3, max_back: int =
 
 
 def read_latest_days(spark: SparkSession, root: str, run: RunWindow, want: int = 3, max_back: int = 10) -> DataFrame:
-    """Store sales of the newest days that have a folder; only those folders are read."""
-    lines = spark.read.text(root)
-    found = (re.search(r"/dt=([0-9-]+)/", name) for name in lines.inputFiles())
-    present = {date.fromisoformat(m.group(1)) for m in found if m}
-    newest = sorted(d for d in present if run.before(max_back + 1) <= d <= run.before(2))[-want:]
-    return parse_lines(lines.where(F.col("dt").isin(newest)), OFFLINE_SALE)
+    """Store sales of the newest days that have a folder; only those folders are read or listed."""
+
+    def there(path: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    days = (f"{root}/dt={run.before(back).isoformat()}" for back in range(2, max_back + 2))
+    newest = list(islice(filter(there, days), want))
+    if not newest:
+        return parse_lines(spark.createDataFrame([], "value string, dt date"), OFFLINE_SALE)
+    return parse_lines(spark.read.option("basePath", root).text(newest), OFFLINE_SALE)
 
 
 def read_prod(
