@@ -112,6 +112,16 @@ def attributed_orders(shop: Shop):
     return orders_with_attribution(orders, attribution_of_carts(shop), ["item_id", "cart_id"])
 
 
+def carried_pages(shop: Shop, **kw):
+    """Attribution of carts where every seventh user has no name and every fifth visit is logged twice."""
+    named = F.col("visitor_id").cast("bigint") % 7 != 0
+    nameless = {c: F.when(named, F.col(c)) for c in ("visitor_id", "session_id")}
+    visits = shop.page_visits().withColumn("device", F.concat(F.lit("d"), F.col("visit_id") % 3))
+    visits = visits.unionByName(visits.where(F.col("visit_id") % 5 == 0))
+    found = attribute_last_touch(shop.cart_lines().withColumns(nameless), visits.withColumns(nameless), carry=["device"], **kw)
+    return found.select(*TOUCH, "device")
+
+
 def orders_as_of(shop: Shop):
     """Order lines, each fourth without a cart and each fifth twice, with the attribution before a day of their own."""
     lines = shop.order_lines().withColumn("copy", F.explode(F.when(F.col("order_no") % 5 == 0, F.array(F.lit(1), F.lit(1))).otherwise(F.array(F.lit(1)))))
@@ -158,6 +168,8 @@ QUERIES = {
     "attribute_last_touch_split": lambda s: attribute_last_touch(
         s.cart_lines(), s.page_visits(), hot_rows=60, chunk_rows=25
     ).select(*TOUCH),
+    "attribute_carried": carried_pages,
+    "attribute_carried_split": lambda s: carried_pages(s, hot_rows=60, chunk_rows=25),
     "attribute_one_day": lambda s: attribute_last_touch(s.cart_lines(), s.page_visits(), "1 day").select(*TOUCH),
     "explode_cart": lambda s: ev.explode_cart(cart_payloads(s)),
     "explode_orders": lambda s: ev.explode_orders(order_payloads(s))[0].select(
@@ -206,8 +218,30 @@ _STEPS = {
 }
 
 
-def _touch(hours: int) -> str:
-    steps = {
+def _touch(hours: int, carried: bool = False) -> str:
+    steps = _touch_steps(hours)
+    visitor, device = "visitor_id", ""
+    if carried:
+        visitor, device = "nullif(visitor_id, '~') AS visitor_id", ", device"
+        nameless = "CASE WHEN user_id % 7 = 0 THEN '~' ELSE CAST(user_id AS VARCHAR) END"
+        steps = {name: text.replace("CAST(user_id AS VARCHAR)", nameless) for name, text in steps.items()}
+        steps["t_visit"] = steps["t_visit"].replace("SELECT event_id", "SELECT 'd' || event_id % 3 AS device, event_id") + (
+            " QUALIFY row_number() OVER (PARTITION BY visitor_id, visit_ts ORDER BY visit_id DESC) = 1")
+        steps["t_reload"] = steps["t_reload"].replace("AND lead(area)", "AND lead(device) OVER w = device AND lead(area)")
+    return with_views(
+        f"""
+        SELECT {visitor}, site_no, item_id, cart_id, ts, qty, visit_id, visit_ts, url, area{device} FROM t_pick
+        UNION ALL
+        SELECT {visitor}, site_no, item_id, cart_id, ts, qty, visit_id, visit_ts, url, NULL{device} FROM t_reload a
+        WHERE back = 1 AND NOT EXISTS (
+            SELECT 1 FROM t_pick p WHERE p.visitor_id = a.visitor_id AND p.site_no = a.site_no
+            AND p.item_id = a.item_id AND p.cart_id = a.cart_id AND p.ts = a.ts)""",
+        steps,
+    )
+
+
+def _touch_steps(hours: int) -> dict[str, str]:
+    return {
         **_STEPS,
         "t_pair": f"""
             SELECT c.*, v.* EXCLUDE (visitor_id) FROM t_cart c JOIN t_visit v ON c.visitor_id = v.visitor_id
@@ -234,16 +268,6 @@ def _touch(hours: int) -> str:
             SELECT * FROM t_clean
             WHERE r = CASE WHEN n > 1 AND lead_detail AND m > 1 THEN 2 ELSE 1 END""",
     }
-    return with_views(
-        """
-        SELECT visitor_id, site_no, item_id, cart_id, ts, qty, visit_id, visit_ts, url, area FROM t_pick
-        UNION ALL
-        SELECT visitor_id, site_no, item_id, cart_id, ts, qty, visit_id, visit_ts, url, NULL FROM t_reload a
-        WHERE back = 1 AND NOT EXISTS (
-            SELECT 1 FROM t_pick p WHERE p.visitor_id = a.visitor_id AND p.site_no = a.site_no
-            AND p.item_id = a.item_id AND p.cart_id = a.cart_id AND p.ts = a.ts)""",
-        steps,
-    )
 
 
 _CART_LINES = """
@@ -279,6 +303,8 @@ _PREFIXED = """CASE WHEN k % 2 = 0 THEN CASE k % 12 + 1 WHEN 1 THEN 'SSG_' WHEN
 SQL = {
     "attribute_last_touch": _touch(6),
     "attribute_last_touch_split": _touch(6),
+    "attribute_carried": _touch(6, True),
+    "attribute_carried_split": _touch(6, True),
     "attribute_one_day": _touch(24),
     "orders_with_attribution_as_of": with_views("""
         SELECT order_no, line_no, item_id, cart_id, order_ts, cart_ts, page_id FROM (
