@@ -62,7 +62,7 @@ def test_explode_ads(spark, rows):
 def test_ad_contribution(spark, rows):
     data = [("1234567890", "10", "x"), ("301234567890", "20", "SSGAPP/2"), ("12345", "10", "x"), ("", "10", "x"), ("1234567890", "20", "x")]
     df = spark.createDataFrame([(*d, "o", "c", 2, 500) for d in data],
-                               "inflow_target string, media_kind string, browser string, order_no string, cart_id string, qty int, unit_price int")
+                               "inflow_target string, os_code string, user_agent string, order_no string, cart_id string, qty int, unit_price int")
     from pyspark.sql import functions as F
 
     df = df.withColumns({"order_ts": F.lit("2024-01-01 10:00:30").cast("timestamp"), "cart_ts": F.lit(None).cast("timestamp")})

@@ -93,11 +93,28 @@ def contribution_orders(shop: Shop):
         "order_no", "line_no", "qty", "unit_price", target.alias("inflow_target"),
         F.col("order_no").alias("cart_id"), F.to_timestamp("order_date").alias("order_ts"),
         F.to_timestamp("order_date").alias("cart_ts"),
-        F.when(priority == "1", "10").otherwise("20").alias("media_kind"),
-        F.when(priority == "2", "SSGAPP/1").otherwise("web").alias("browser"),
+        F.when(priority == "1", "10").otherwise("20").alias("os_code"),
+        F.when(priority == "2", "SSGAPP/1").otherwise("web").alias("user_agent"),
     )
 
 
+def ad_chain(shop: Shop):
+    """Visits to carts to orders to ad revenue, with the device of the page an order came from."""
+    kind = F.col("visit_id") % 3
+    visits = shop.page_visits().withColumns({
+        "os_code": F.when(kind == 0, "10").otherwise("20"), "user_agent": F.when(kind == 1, "SSGAPP/1").otherwise("web")})
+    carts = attribute_last_touch(shop.cart_lines(), visits, carry=["os_code", "user_agent"])
+    pages = carts.select("site_no", "item_id", "cart_id", F.col("ts").alias("cart_ts"), "visit_id", "os_code", "user_agent")
+    bought, k = shop.events().where(F.col("event_type") == "purchase"), F.col("k")
+    orders = bought.select(
+        F.col("event_id").alias("order_no"), k.alias("item_id"), (F.col("event_id") % 3).cast("string").alias("cart_id"),
+        F.col("ts").alias("order_ts"), F.lit(2).alias("qty"), (k + 1).alias("unit_price"),
+        F.when(k % 3 != 0, F.concat(F.when(k % 2 == 0, "20").otherwise(""), F.lpad(k.cast("string"), 10, "0"))).alias("inflow_target"),
+    )
+    attributed = orders_with_attribution(orders, pages, ["item_id", "cart_id"], not_after="order_ts")
+    return ev.ad_contribution(attributed).withColumn("sales_amount", F.col("sales_amount").cast("bigint"))
+
+
 def attribution_of_carts(shop: Shop):
     """Purchases as attribution rows, keyed by item and a third of the event ids."""
     return shop.events().where(F.col("event_type") == "purchase").select(
@@ -182,6 +199,7 @@ QUERIES = {
     ),
     "ad_counters": lambda s: ev.ad_counters(s.ad_rows()),
     "ad_contribution": lambda s: ev.ad_contribution(contribution_orders(s)),
+    "ad_contribution_chain": ad_chain,
     "orders_with_attribution": attributed_orders,
     "orders_with_attribution_as_of": orders_as_of,
     "merge_full": totals,
@@ -219,8 +237,30 @@ _STEPS = {
 
 
 def _touch(hours: int, carried: bool = False) -> str:
+    return with_views(*_touch_parts(hours, carried))
+
+
+def _ad_chain() -> str:
+    body, steps = _touch_parts(6, False, "'d' || visit_id % 3 AS device")
+    steps["t_touch"] = body
+    return with_views("""
+        SELECT target_id, order_no, date_trunc('minute', order_ts) AS minute, extension_code,
+               CASE device WHEN 'd0' THEN '10' WHEN 'd1' THEN '30' ELSE '20' END AS device_code, cart_id, cart_ts, sales_amount
+        FROM (SELECT lpad(CAST(k AS VARCHAR), 10, '0') AS target_id, event_id AS order_no, e.ts AS order_ts, t.device, t.ts AS cart_ts,
+                     CASE WHEN k % 2 = 0 THEN '20' ELSE '10' END AS extension_code, CAST(event_id % 3 AS VARCHAR) AS cart_id,
+                     2 * (k + 1) AS sales_amount,
+                     row_number() OVER (PARTITION BY event_id ORDER BY t.ts DESC NULLS LAST, t.visit_id DESC) AS back
+              FROM v_event e LEFT JOIN t_touch t ON t.item_id = k AND t.cart_id = CAST(event_id % 3 AS VARCHAR) AND t.ts <= e.ts
+              WHERE event_type = 'purchase' AND k % 3 <> 0)
+        WHERE back = 1""", steps)
+
+
+def _touch_parts(hours: int, carried: bool, extra: str = "") -> tuple[str, dict[str, str]]:
     steps = _touch_steps(hours)
-    visitor, device = "visitor_id", ""
+    visitor, device = "visitor_id", f", {extra}" if extra else ""
+    if extra:
+        # the device is a column of the page, so it tells reloads apart
+        steps["t_reload"] = steps["t_reload"].replace("AND lead(area)", "AND lead(visit_id) OVER w % 3 = visit_id % 3 AND lead(area)")
     if carried:
         visitor, device = "nullif(visitor_id, '~') AS visitor_id", ", device"
         nameless = "CASE WHEN user_id % 7 = 0 THEN '~' ELSE CAST(user_id AS VARCHAR) END"
@@ -228,7 +268,7 @@ def _touch(hours: int, carried: bool = False) -> str:
         steps["t_visit"] = steps["t_visit"].replace("SELECT event_id", "SELECT 'd' || event_id % 3 AS device, event_id") + (
             " QUALIFY row_number() OVER (PARTITION BY visitor_id, visit_ts ORDER BY visit_id DESC) = 1")
         steps["t_reload"] = steps["t_reload"].replace("AND lead(area)", "AND lead(device) OVER w = device AND lead(area)")
-    return with_views(
+    return (
         f"""
         SELECT {visitor}, site_no, item_id, cart_id, ts, qty, visit_id, visit_ts, url, area{device} FROM t_pick
         UNION ALL
@@ -306,6 +346,7 @@ SQL = {
     "attribute_carried": _touch(6, True),
     "attribute_carried_split": _touch(6, True),
     "attribute_one_day": _touch(24),
+    "ad_contribution_chain": _ad_chain(),
     "orders_with_attribution_as_of": with_views("""
         SELECT order_no, line_no, item_id, cart_id, order_ts, cart_ts, page_id FROM (
             SELECT o.*, a.cart_ts, a.page_id,

@@ -183,17 +183,18 @@ def ad_counters(ad_rows: DataFrame) -> DataFrame:
     return rows.groupBy(*COUNTER_KEYS).agg(*ad_counts())
 
 
-def ad_contribution(orders: DataFrame) -> DataFrame:
+def ad_contribution(orders: DataFrame, os_code: str = "os_code", user_agent: str = "user_agent") -> DataFrame:
     """Revenue of order lines that carry an ad target of 10 or 12 characters.
 
-    A 12-character target starts with its extension code. Device: 10 for PC media,
-    30 for the shop's app, 20 else.
+    A 12-character target starts with its extension code. The device is that of the page
+    which the order is attributed to, by its OS code and user agent: 10 for PCs, 30 for
+    the shop's app, 20 else and without a page.
     """
     target = F.col("inflow_target")
     long_form = F.length(target) == 12
     device = (
-        F.when(F.col("media_kind") == PC_MEDIA, "10")
-        .when(F.col("browser").contains(APP_BROWSER), "30")
+        F.when(F.col(os_code) == PC_MEDIA, "10")
+        .when(F.col(user_agent).contains(APP_BROWSER), "30")
         .otherwise("20")
     )
     return orders.where(F.length(target).isin(10, 12)).select(
