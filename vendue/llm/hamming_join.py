@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from vendue.llm.common import components, raw_bytes, small_batches, stored
 
 #: 19 chunks of 5 values with one error each: every pair with up to 37 of 95 values apart is
-#: found. At a similarity of 0.8 one pair in 100,000 is further apart than that.
+#: found. At a similarity of 0.8 six pairs in a million are further apart than that.
 CHUNKS, WIDTH, ERRORS = 19, 5, 1
 VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * (ERRORS + 1) - 1
