@@ -62,6 +62,8 @@ def near_copies(seed, n, edits, length=120):
 def test_near_duplicates(spark, make_docs, monkeypatch, size, block):
     monkeypatch.setattr(hamming_join, "BLOCK_SHINGLES", block)
     monkeypatch.setattr(hamming_join, "PIVOTS", 2)
+    if block == 1_500:
+        monkeypatch.setattr(hamming_join, "BROADCAST_ROWS", 0)
     texts = [t for s, n, e in ((1, 60, 40), (2, 5, 6), (3, 12, 20), (4, 1, 1)) for t in near_copies(s, n, e)]
     texts += [texts[0]] * 5 + ["", None, " \t\n", "one", "ONE", "two words", "Two\twords", "é x", "É x"]
     rows = list(enumerate(texts, 100))

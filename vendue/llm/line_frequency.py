@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from vendue.llm.common import stored
 
-MAX_RATIO = 0.1
+#: Above the share that one group of copies usually has in a site: copies of a page that make up more than this
+#: share count as boilerplate like a menu.
+MAX_RATIO = 0.2
 MIN_PAGES = 5
 
 #: Boilerplate lines (8 bytes each) that may be broadcast; beyond it pages are joined by a shuffle.

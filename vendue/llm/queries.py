@@ -113,7 +113,7 @@ l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
 t AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
 b AS (SELECT source, line FROM (SELECT DISTINCT r, source, line FROM l) JOIN t USING (source)
       WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
-      GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages),
+      GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) > 0.2 * pages),
 k AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY i) FILTER (WHERE b.source IS NULL) AS text,
         count(b.source) AS n_dropped
       FROM l LEFT JOIN b ON l.source = b.source AND l.line = b.line GROUP BY l.r)
