@@ -14,7 +14,7 @@ from vendue.operators import ranking, relational
 from vendue.session import ensure_checkpoint_dir
 from vendue.sinks.tables import Store
 from vendue.sources import shop as src
-from vendue.sources.delimited import Layout, parse_lines
+from vendue.sources.delimited import parse_lines
 from vendue.sources.window import RunWindow
 from vendue.streaming.ads import ad_counters_stream, sliding_stream
 from vendue.streaming.micro import read_stream

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
 
 from vendue.checks.tables import with_views
 from vendue.plans import best_rank as br
