@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from vendue.llm import language_evidence, line_frequency, quality_cascade, surrogates, toxicity, url_rules
+from vendue.llm import hamming_join, language_evidence, line_frequency, quality_cascade, surrogates, toxicity, url_rules
 from vendue.llm.queries import tokenizer_path
 
 RULES = [
@@ -84,6 +84,17 @@ def test_boilerplate(make_docs, monkeypatch, broadcast):
     assert line_frequency.drop_boilerplate(make_docs([])).count() == 0
 
 
+def test_copies_of_a_page_keep_one_text(make_docs):
+    """A third of a site is one page: its lines are no boilerplate, and one full text is left after both stages."""
+    page = "\n".join(f"line {i} of the copied page" for i in range(8))
+    rows = [(i, f"Home | About\nown text {i} of {i * 7} words", "a") for i in range(20)] + [(100 + i, page, "a") for i in range(10)]
+    cleaned = line_frequency.drop_boilerplate(make_docs(rows)).drop("n_dropped")
+    got = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert all(got[i] == f"own text {i} of {i * 7} words" for i in range(20))
+    left = [r["text"] for r in hamming_join.keep_one(cleaned).where("doc_id >= 100").collect()]
+    assert left == [page]
+
+
 # quality ----------------------------------------------------------------------------
 
 
