@@ -84,6 +84,12 @@ def test_boilerplate(make_docs, monkeypatch, broadcast):
     assert line_frequency.drop_boilerplate(make_docs([])).count() == 0
 
 
+def test_a_line_of_a_seventh_of_the_pages_goes(spark, make_docs):
+    docs = make_docs([(i, f"own text {i}" + ("\nlicense line" if i < 6 else ""), "a") for i in range(42)])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {i: f"own text {i}" for i in range(42)}
+
+
 def test_copies_of_a_page_keep_one_text(make_docs):
     """A third of a site is one page: its lines are no boilerplate, and one full text is left after both stages."""
     page = "\n".join(f"line {i} of the copied page" for i in range(8))

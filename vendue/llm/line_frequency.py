@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from vendue.llm.common import stored
 
-MAX_RATIO = 0.2
+#: A line on one of ten pages of a site comes from the site, not from its authors.
+MAX_RATIO = 0.1
 MIN_PAGES = 5
 
 #: Boilerplate lines (8 bytes each) that may be broadcast; beyond it pages are joined by a shuffle.
