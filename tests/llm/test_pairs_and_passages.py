@@ -89,6 +89,26 @@ def test_near_duplicates_without_ids(spark, make_docs):
     assert Counter(r["text"] for r in kept.collect()) == Counter([text + " end", "alone it stands", None, "other words here"])
 
 
+def test_keep_one_row_of_repeated_rows(make_docs):
+    """Repeated rows of the representative, and components without any id, leave one row each."""
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(7, text)] * 5 + [(8, text + " end")] + [(None, other)] * 4 + [(None, other + " end")] * 3 + [(9, "")] * 2
+    docs = make_docs(rows)
+    kept = hamming_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], (r["text"] or "")[:2]) for r in kept.collect())
+    assert got == Counter([(7, "w0"), (None, "v0"), (9, ""), (9, "")])
+
+
+def test_two_texts_under_one_id(make_docs):
+    """An id's unique text stays though its other text has a near copy; the links of both are found."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = make_docs([(5, a), (5, b), (3, b + " end"), (6, a + " end"), (5, c)])
+    assert Counter(r["text"] for r in hamming_join.keep_one(docs).collect()) == Counter([a, b + " end", c])
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in hamming_join.near_duplicates(docs).collect())
+    assert got == Counter([(5, 5, True), (5, 3, False), (3, 3, True), (6, 5, False), (5, 5, True)])
+
+
 def test_near_duplicates_of_nothing(make_docs):
     assert hamming_join.near_duplicates(make_docs([])).count() == 0
 

@@ -118,8 +118,8 @@ def _classes(rows: DataFrame) -> DataFrame:
     """One row per distinct set: a node number, the row that stands for it, size and signature."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep")
     found = rows.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(first, F.first("sig").alias("sig"))
-    # sets whose rows have no id get a number from their hash, above all usual ids
-    node = F.coalesce("rep.doc_id", F.col("k1").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62)))
+    # ids and texts may repeat, so the set itself names the node
+    node = F.xxhash64("k1", "k2", "n_shingles")
     return found.select(
         "k1", "k2", F.col("n_shingles").alias("n"), node.alias("node"), F.col("rep.doc_id").alias("rep_id"),
         F.col("rep.text_hash").alias("text_hash"), "sig",
@@ -255,7 +255,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
 
 
 def _judged(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id`` of every row."""
+    """``doc_id, text_hash, n_shingles, component_id, label`` of every row; a row without shingles has no label."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stored(_measure(docs, shingle_words), "signatures")
@@ -263,16 +263,12 @@ def _judged(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     clusters = components(_candidates(classes, percent))
     labels = components(_links(docs, classes, clusters, shingle_words, percent))
     named = classes.select("k1", "k2", "n", "node", "rep_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    alone = named.where("label = node")
-    smallest = named.where("label <> node").groupBy("label").agg(F.min("rep_id").alias("least_id"))
-    # a label is the smallest node of its component, so its own id is the smallest unless it has none
-    lead = alone.select("label", F.col("rep_id").alias("own_id")).join(smallest, "label", "left")
-    lead = lead.select("label", F.least("own_id", "least_id").alias("component_id"))
-    named = named.join(lead, "label").select("k1", "k2", F.col("n").alias("n_shingles"), "component_id")
+    lead = named.groupBy("label").agg(F.min("rep_id").alias("component_id"))
+    named = named.join(lead, "label").select("k1", "k2", F.col("n").alias("n_shingles"), "component_id", "label")
     columns = ["doc_id", "text_hash", "n_shingles"]
     some = rows.where("n_shingles > 0").select(*columns, "k1", "k2").join(named, ["k1", "k2", "n_shingles"])
-    none = rows.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"))
-    return some.select(*columns, "component_id").union(none)
+    none = rows.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("label"))
+    return some.select(*columns, "component_id", "label").union(none)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -280,7 +276,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
 
     Documents are linked when ``100 * |A and B| >= percent * |A or B|`` for their sets of word
     shingles (A-Z lower-cased, fewer words are one shingle); component_id is the smallest
-    doc_id reachable over links. Null and empty texts, or texts of white space, have no
+    doc_id reachable over links; different texts under one id are judged apart. Null and empty texts, or texts of white space, have no
     shingles, are linked with nothing and kept. Rows of equal id and text are one document and get equal
     results; rows without an id take part, and a component of these alone has a null id and is kept. Other
     columns are not read. Every link is confirmed on full sets; pairs are missed only if their signatures
@@ -290,13 +286,31 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     share gives one edge for each of them, never pairs. Confirming compares a cluster in blocks
     of bounded size, and across blocks only what is not connected yet.
     """
-    judged = _judged(docs, shingle_words, percent).drop("text_hash")
+    judged = _judged(docs, shingle_words, percent).drop("text_hash", "label")
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, columns as they are."""
-    judged = _judged(docs, shingle_words, percent).where("not doc_id <=> component_id")
-    gone = judged.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__hash"])
-    return docs.join(gone, same, "left_anti")
+    """One row of ``docs`` for each component, and all rows without shingles; columns as they are.
+
+    The row is one of the smallest doc_id, without any of the smallest text hash; of repeated rows of this id and
+    text the one with the smallest hash over all columns.
+    """
+    judged = _judged(docs, shingle_words, percent).where("label is not null")
+    texts = stored(judged.groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("n")), "texts")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = texts.groupBy("label").agg(F.min(order).alias("best"))
+    chosen = texts.join(best, "label").withColumn("chosen", order.eqNullSafe(F.col("best")))
+    marked = chosen.where("not chosen or n > 1").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "chosen")
+    marked = stored(marked, "marked")
+    own_id, own_hash = docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))
+    same = own_id.eqNullSafe(marked["__id"]) & (own_hash == marked["__hash"])
+    kept = docs.join(marked, same, "left_anti")
+    repeated = marked.where("chosen")
+    if repeated.isEmpty():
+        return kept
+    names = [f"`{c}`" for c in docs.columns]
+    row_hash = F.xxhash64(*(f"`{c}`" for c, kind in docs.dtypes if "map<" not in kind))
+    rows = docs.join(repeated, own_id.eqNullSafe(repeated["__id"]) & (own_hash == repeated["__hash"]))
+    one = rows.groupBy("__id", "__hash").agg(F.min_by(F.struct(*names), row_hash).alias("__row"))
+    return kept.unionByName(one.select("__row.*"))
