@@ -187,6 +187,20 @@ def luhn(number):
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
 
 
+def test_neighbouring_numbers(make_docs):
+    """Each of several numbers side by side is replaced, alike wherever it stands."""
+    a, b, spaced = "7536784127813050", "4845168114407329", "4111 1111 1111 1111"
+    texts = [f"{a} {b}", f"{a}-{b}", f"{a} 2024", f"2024 {a} 12", f"{spaced} {spaced} 2024", f"{spaced} {a}", "3782 822463 10005 3782 822463 10005", a, b, spaced]
+    found = {r["doc_id"]: (r["text"], r["n_entities"]) for r in surrogates.replace_private(make_docs(list(enumerate(texts))), "k").collect()}
+    new_a, new_b, new_spaced = (found[i][0] for i in (7, 8, 9))
+    assert not {new_a, new_b, new_spaced} & {a, b, spaced}
+    assert found[0] == (f"{new_a} {new_b}", 2) and found[1] == (f"{new_a}-{new_b}", 2)
+    assert found[2] == (f"{new_a} 2024", 1) and found[3] == (f"2024 {new_a} 12", 1)
+    assert found[4] == (f"{new_spaced} {new_spaced} 2024", 2) and found[5] == (f"{new_spaced} {new_a}", 2)
+    amex = found[6][0]
+    assert found[6][1] == 2 and amex[:17] == amex[18:] != "3782 822463 10005"
+
+
 def test_other_keys_other_surrogates(make_docs, private):
     found = surrogates.replace_private(make_docs([(8, "al@x.org")]), "key two").first()["text"]
     assert found not in ("al@x.org", private[2][8][0])

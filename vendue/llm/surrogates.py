@@ -36,6 +36,9 @@ ENDINGS = {
 _WORD = r"\p{Lu}[\p{L}'’]++"
 _TITLE = "|".join(t for own in TITLES.values() for t in own)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# Numbers: a run without separators first, then the group sizes of cards, then other groups, which stop before a run.
+_GROUPED = r"(?:\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13})"
+_END = r"(?![\p{L}\p{N}]|\.\d)"
 # Every alternative starts at the edge of a token and takes runs as a whole, so a text is read in linear time.
 _FORMS = {
     "secret": r"\b(?i:token|secret|password|passwd|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_=-]{16,}+",
@@ -43,7 +46,8 @@ _FORMS = {
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
     "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\p{N})"
     r"|(?<![\p{L}\p{N}+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\p{N})",
-    "number": r"(?<![\p{L}\p{N}.+-])\d(?:[ -]?\d){12,18}+(?![\p{L}\p{N}]|\.\d)",
+    "number": rf"(?:(?<![\p{{L}}\p{{N}}.+-])|(?<=\d-))(?:\d{{13,19}}+|{_GROUPED}){_END}"
+    rf"|(?<![\p{{L}}\p{{N}}.+-])\d(?:(?:[ -](?!\d{{13,19}}(?!\d)))?\d){{12,18}}+{_END}",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_WORD}(?:[ -]{_WORD}){{0,2}}",
 }
 PATTERN = "|".join(_FORMS.values())
