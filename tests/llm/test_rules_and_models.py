@@ -201,6 +201,20 @@ def test_neighbouring_numbers(make_docs):
     assert found[6][1] == 2 and amex[:17] == amex[18:] != "3782 822463 10005"
 
 
+def test_names_without_a_title(make_docs):
+    """Later mentions without a title, and full names that other texts write with one, have the same surrogates."""
+    texts = ["Mr John Smith called. Smith left, SMITH's dog and John Smith too.", "Frau Anna Weber und Dr Anna Weber", "Then Anna Weber spoke; Weber sat.",
+             "Weber and Smith are words here, as Anna is", "Dr. Anna Smith", None, "al@x.org"]
+    found = {r["doc_id"]: (r["text"], r["n_entities"]) for r in surrogates.replace_private(make_docs(list(enumerate(texts))), "k").collect()}
+    john, smith = re.match(r"Mr (\w+) (\w+) called", found[0][0]).groups()
+    assert found[0] == (f"Mr {john} {smith} called. {smith} left, {smith.upper()}'s dog and {john} {smith} too.", 4)
+    anna, weber = re.match(r"Frau (\w+) (\w+) und", found[1][0]).groups()
+    assert found[1] == (f"Frau {anna} {weber} und Dr {anna} {weber}", 2) and anna.endswith("lia")
+    assert found[2] == (f"Then {anna} {weber} spoke; {weber} sat.", 2)
+    assert found[3] == (texts[3], 0) and found[4] == (f"Dr. {anna} {smith}", 1)
+    assert not {john, smith, anna, weber} & {"John", "Smith", "Anna", "Weber"} and found[5] == (None, 0)
+
+
 def test_other_keys_other_surrogates(make_docs, private):
     found = surrogates.replace_private(make_docs([(8, "al@x.org")]), "key two").first()["text"]
     assert found not in ("al@x.org", private[2][8][0])

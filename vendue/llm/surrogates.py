@@ -51,6 +51,13 @@ _FORMS = {
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_WORD}(?:[ -]{_WORD}){{0,2}}",
 }
 PATTERN = "|".join(_FORMS.values())
+# Names without a title are looked up among these.
+_BARE = rf"(?<![\p{{L}}\p{{N}}]){_WORD}"
+_RUN = rf"{_BARE}(?:[ -]{_WORD})+"
+_GENITIVE = r"['’]s?$"
+
+#: Texts with names known from other texts may be broadcast up to this many rows of 16 bytes; beyond it texts are shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def mentions(text: Column) -> Column:
@@ -101,6 +108,78 @@ def parts(found: DataFrame) -> DataFrame:
     return rows.select("mention", "place", "lead", "part", "tail", kind.alias("kind"), entity.alias("entity"))
 
 
+def _told_gender(pieces: DataFrame) -> DataFrame:
+    """``pieces`` where a given name after a neutral title has the gender that most mentions with another title tell."""
+    neutral = F.regexp_replace("kind", "^(name .*) [mf]$", "$1 n")
+    told = pieces.where(F.col("kind").rlike("^name .* [mf]$")).select(neutral.alias("kind"), "entity", F.col("kind").alias("told"))
+    lean = F.sum(F.when(F.col("told").endswith("f"), 1).otherwise(-1)) >= 0
+    told = told.groupBy("kind", "entity").agg(F.when(lean, F.max(F.when(F.col("told").endswith("f"), F.col("told")))).otherwise(F.max(F.when(F.col("told").endswith("m"), F.col("told")))).alias("told"))
+    return pieces.join(told, ["kind", "entity"], "left").withColumn("kind", F.coalesce("told", "kind")).drop("told")
+
+
+def _pairs(text: Column) -> Column:
+    """Hashes of the distinct pairs of neighbouring capitalised words of a text, which may be names without a title."""
+
+    def of_run(run: Column) -> Column:
+        words = F.transform(F.split(F.lower(run), "[ -]"), lambda w: F.regexp_replace(w, _GENITIVE, ""))
+        n = F.size(words) - 1
+        return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b))
+
+    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(runs, of_run))), F.array().cast("array<bigint>"))
+
+
+def _names_of_texts(rows: DataFrame, pieces: DataFrame, known: DataFrame) -> DataFrame:
+    """``__h1, __h2, __names``: by text the words of its names and their surrogates.
+
+    A text has the names it writes with a title, and those of two words or more that any text of
+    the corpus writes with a title.
+    """
+    titles = [t.lower() for own in TITLES.values() for t in own]
+    words = pieces.where(F.col("kind").startswith("name") & ~F.col("entity").isin(titles))
+    words = words.withColumn("word", F.regexp_replace("entity", _GENITIVE, ""))
+    words = words.join(known, ["kind", "entity"]).select("mention", "place", "kind", "word", "surrogate")
+    words = stored(words, "name-words")
+    hashes = ["__h1", "__h2"]
+    titled = rows.select(*hashes, F.explode("__found").alias("mention")).distinct().join(words, "mention")
+    first, second = words.select("mention", "place", F.struct("kind", "word", "surrogate").alias("a")), words.select("mention", (F.col("place") - 1).alias("place"), F.struct("kind", "word", "surrogate").alias("b"))
+    both = first.join(second, ["mention", "place"]).select(F.xxhash64("a.word", "b.word").alias("pair"), F.explode(F.array("a", "b")).alias("w"))
+    both = both.select("pair", "w.*").distinct()
+    other = rows.select(*hashes, F.explode("__pairs").alias("pair")).distinct().join(both, "pair")
+    columns = [*hashes, "kind", "word", "surrogate"]
+    # a word is a surname first, then a given name of known gender
+    rank = F.struct(F.expr("instr('smfn', right(kind, 1))").alias("rank"), "kind", "surrogate")
+    each = titled.select(*columns).union(other.select(*columns)).groupBy(*hashes, "word").agg(F.min(rank).alias("best"))
+    entries = F.map_from_entries(F.collect_list(F.struct("word", "best.surrogate")))
+    return stored(each.groupBy(*hashes).agg(entries.alias("__names")), "names-of-texts")
+
+
+def _known_name(word: Column, names: Column) -> Column:
+    return F.try_element_at(names, F.regexp_replace(F.lower(word), _GENITIVE, ""))
+
+
+def _shown_name(word: Column, names: Column) -> Column:
+    """The surrogate of a word in its case and with its genitive; other words stay."""
+    new = _known_name(word, names)
+    stem = F.regexp_replace(word, _GENITIVE, "")
+    new = F.when(F.upper(stem) == stem, F.upper(new)).otherwise(F.initcap(new))
+    return F.coalesce(F.concat(new, F.regexp_extract(word, _GENITIVE, 0)), word)
+
+
+def _without_bare_names(gap: Column, names: Column) -> Column:
+    between = F.split(gap, _BARE, -1)
+    words = F.transform(F.regexp_extract_all(gap, F.lit(_BARE), F.lit(0)), lambda w: _shown_name(w, names))
+    return F.array_join(F.flatten(F.zip_with(between, words, lambda b, w: F.array(b, F.coalesce(w, F.lit(""))))), "")
+
+
+def _bare_names(gap: Column, names: Column) -> Column:
+    """Number of names without a title; neighbouring words are one."""
+    between = F.split(gap, _BARE, -1)
+    known = F.transform(F.regexp_extract_all(gap, F.lit(_BARE), F.lit(0)), lambda w: _known_name(w, names).isNotNull())
+    starts = F.transform(known, lambda k, i: k & ~(F.coalesce(F.get(known, i - 1), F.lit(False)) & F.get(between, i).isin(" ", "-")))
+    return F.size(F.filter(starts, lambda x: x))
+
+
 def _byte(seed: Column, i: Column) -> Column:
     """Byte ``i`` of the keyed stream of a seed."""
     block = F.sha2(F.concat_ws("|", seed, F.floor(i / 32).cast("string")), 256)
@@ -221,29 +300,42 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every mention in ``text`` replaced, and ``n_entities``, the number of mentions.
 
     Types are secrets after a key word, e-mail and IPv4 addresses, phone numbers, numbers of 13 to 19
-    digits, and names after a title. Null and empty texts and texts without a mention stay as they are,
+    digits, and names. Null and empty texts and texts without a mention stay as they are,
     as do all rows and columns; a column named ``n_entities`` is replaced. Mentions that differ in case or
     separators alone are one entity. The key decides the surrogates; keep it secret.
 
-    The pattern runs once over the texts, which are written with their mentions. Only texts with mentions are
-    joined with their replacements, on a hash of the text, so copies are treated once.
+    In a text that has a name, by a title or as two neighbouring words that some text of the corpus writes after a
+    title, all capitalised words equal to a part of it are replaced by the same surrogate, with a title or without.
+
+    The pattern runs once over the texts, which are written with their mentions. Only texts with mentions or
+    such names are joined with their replacements, on a hash of the text, so copies are treated once.
     """
     columns = [c for c in docs.columns if c != "n_entities"]
-    rows = docs.select(*(f"`{c}`" for c in columns)).withColumn("__found", mentions(F.col("text")))
-    rows = stored(rows, "mentions")
-    found = rows.where(F.size("__found") > 0)
+    hashed = [F.xxhash64("text").alias("__h1"), F.xxhash64("text", F.lit(1)).alias("__h2")]
+    hashes = ["__h1", "__h2"]
+    rows = docs.select(*(f"`{c}`" for c in columns)).withColumn("__found", mentions(F.col("text"))).withColumn("__pairs", _pairs(F.col("text")))
+    rows = stored(rows.select("*", *hashed), "mentions")
+    found, clean = rows.where(F.size("__found") > 0), rows.where(F.size("__found") == 0)
     distinct = found.select(F.explode("__found").alias("mention")).distinct()
-    pieces = stored(parts(distinct), "parts")
+    pieces = stored(_told_gender(stored(parts(distinct), "parts")), "parts")
     known = assign(stored(pieces.select("kind", "entity").distinct(), "entities"), key)
     shown = pieces.join(known, ["kind", "entity"]).select("mention", F.struct("place", _rendered().alias("new")).alias("piece"))
     new = F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["new"]), "")
     replaced = stored(shown.groupBy("mention").agg(new.alias("new")), "replacements")  # a mention has three parts at most
-    hashed = [F.xxhash64("text").alias("__h1"), F.xxhash64("text", F.lit(1)).alias("__h2")]
-    places = found.select(*hashed, F.posexplode("__found").alias("place", "mention")).distinct().join(replaced, "mention")
-    of_text = places.groupBy("__h1", "__h2").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "new"))), lambda p: p["new"]).alias("__new"))
-    gaps = F.split("text", PATTERN, -1)
-    text = F.array_join(F.flatten(F.zip_with(gaps, "__new", lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), "")
-    private = found.select("*", *hashed).join(of_text, ["__h1", "__h2"]).withColumn("text", text)
-    n = F.size("__found").cast("long").alias("n_entities")
-    keep = [*(f"`{c}`" for c in columns), n]
-    return rows.where(F.size("__found") == 0).select(*keep).unionByName(private.select(*keep))
+    names = _names_of_texts(rows, pieces, known)
+    places = found.select(*hashes, F.posexplode("__found").alias("place", "mention")).distinct().join(replaced, "mention")
+    of_text = places.groupBy(*hashes).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "new"))), lambda p: p["new"]).alias("__new"))
+    of_text = of_text.join(names, hashes, "full")
+    named = stored(clean.where(F.size("__pairs") > 0).select(*hashes).distinct().join(names.select(*hashes), hashes, "left_semi"), "named")
+    if named.count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
+    private = found.unionByName(clean.where(F.size("__pairs") > 0).join(named, hashes, "left_semi").select(*rows.columns))
+    clean = clean.join(named, hashes, "left_anti")
+    gaps, own = F.split("text", PATTERN, -1), F.col("__names")
+    shown_gaps = F.when(own.isNull(), gaps).otherwise(F.transform(gaps, lambda g: _without_bare_names(g, own)))
+    text = F.array_join(F.flatten(F.zip_with(shown_gaps, F.coalesce("__new", F.array().cast("array<string>")), lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), "")
+    bare = F.when(own.isNull(), 0).otherwise(F.aggregate(F.transform(gaps, lambda g: _bare_names(g, own)), F.lit(0), lambda a, b: a + b))
+    n = F.size("__found").cast("long")
+    private = private.join(of_text, hashes).withColumn("n_entities", n + bare).withColumn("text", text)
+    keep = [*(f"`{c}`" for c in columns), "n_entities"]
+    return clean.withColumn("n_entities", n).select(*keep).unionByName(private.select(*keep))
