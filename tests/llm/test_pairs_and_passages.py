@@ -195,6 +195,18 @@ def test_remove_spans(spark, make_docs):
     assert none.count() == 5
 
 
+def test_items_without_an_id_are_hits(spark, make_docs):
+    one, two = (" ".join(f"{x}{i}" for i in range(20)) for x in "qz")
+    bench = spark.createDataFrame([(None, one), (None, two), (7, two)], "item_id long, text string")
+    clean = " ".join(f"c{i}" for i in range(900))
+    docs = make_docs([(1, one), (2, two), (3, f"{clean} {one} {clean}"), (4, clean)])
+    digest = {n: hashlib.sha256(n.encode()).hexdigest() for n in ("", "7")}
+    got = {r["doc_id"]: tuple(r)[2:] for r in decontaminate.judge(docs, bench).collect()}
+    assert got == {1: (20, 0, digest[""], True), 2: (20, 1, digest["7"], True), 3: (20, 0, digest[""], False), 4: (0, 0, digest[""], False)}
+    kept = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(docs, bench).collect()}
+    assert kept == {3: f"{clean}  {clean}", 4: clean}
+
+
 # packing ----------------------------------------------------------------------------
 
 

@@ -44,7 +44,7 @@ class SuffixAutomaton:
     can be a whole window; ``shorts[state]`` the whole short items that end a match there.
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.length, self.link, self.step = [0], [-1], [{}]
@@ -166,7 +166,7 @@ class SuffixAutomaton:
 
 
 def scan(automaton: SuffixAutomaton, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
-    """``n_words, hit spans [first, last), items`` of whole texts."""
+    """``n_words, hit spans [first, last), items`` of whole texts; items without an id give spans only."""
     get = automaton.vocabulary.get
     counts, numbers = [], []
     for text in texts:
@@ -188,20 +188,20 @@ def scan(automaton: SuffixAutomaton, texts: list[str | None]) -> list[tuple[int,
                     lo = min(lo, own.pop()[0])
                 own.append((lo, hi))
                 items[doc] |= found
-    return [(n, s, sorted(x)) for n, s, x in zip(counts, spans, items, strict=True)]
+    return [(n, s, sorted(x - {None})) for n, s, x in zip(counts, spans, items, strict=True)]
 
 
 def _blocks(items: DataFrame, block_words: int) -> list[tuple[DataFrame, int]]:
     """The items packed into blocks of bounded size: the table of blocks and each block's number."""
-    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     # a word takes two characters at least, so a block holds block_words words on average at most
     n_blocks = max(1, -(-size // (2 * block_words)))
-    parts = rows.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)))
+    parts = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
 
     def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["item_id", "text"], kind="stable")
-        data = pickle.dumps([(i, item_words(t)) for i, t in zip(part["item_id"], part["text"], strict=True)])
+        data = pickle.dumps([(i if isinstance(i, str) else None, item_words(t)) for i, t in zip(part["item_id"], part["text"], strict=True)])
         return pd.DataFrame({"block": [key[0]], "data": [data]})
 
     packed = stored(parts.groupBy("block").applyInPandas(pack, "block long, data binary"), "items")
@@ -255,8 +255,8 @@ def find_test_items(
     """``docs`` with ``__found``: ``n_words, hit_spans, items`` of each whole text.
 
     A hit is every word inside an occurrence of ``window`` consecutive words of an item, or
-    of a whole item with fewer words. Items with a null id or text are left out; equal ids
-    count once. Null and empty texts have no words. Rows pass through one by one, so repeated
+    of a whole item with fewer words. Items with a null text are left out, those with a null id
+    give hits but no id; equal ids count once. Null and empty texts have no words. Rows pass through one by one, so repeated
     rows and null ids stay as they are, and other columns are carried along (a column
     named ``__found`` is replaced).
 
