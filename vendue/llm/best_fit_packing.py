@@ -1,8 +1,8 @@
-"""Best-fit packing of token pieces by exact-complement hashing over a histogram of lengths.
+"""Best-fit packing of token pieces by exact complements over a histogram of lengths.
 
 The plan is made from the number of pieces of each length alone, at most ``capacity``
-numbers however many pieces there are. Sums of one, two and three lengths are indexed;
-combinations that fill a gap exactly are used up as often as pieces are left, all at once;
+numbers however many pieces there are. Complements of one, two and three lengths are looked up
+in the histogram itself, without an index of sums; combinations that fill a gap exactly are used up as often as pieces are left, all at once;
 the rest goes best-fit. The pieces then find their places by their rank among those of
 equal length, so no task and no driver ever holds the pieces.
 """
