@@ -15,11 +15,13 @@ from vendue.llm import (
     hamming_join,
     language_evidence,
     line_frequency,
+    one_permutation,
     quality_cascade,
     surrogates,
     toxicity,
     url_rules,
     warc,
+    whitening,
 )
 
 
@@ -81,6 +83,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_permutation.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -94,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_evidence,
         op9_best_fit_packing,
         op10_decontaminate,
+        op11_one_permutation,
+        op12_whitening,
     )
 }
 
