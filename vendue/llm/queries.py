@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vendue.llm import (
     best_fit_packing,
+    collocations,
     decontaminate,
     hamming_join,
     language_evidence,
@@ -91,6 +92,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontaminate,
         op11_one_permutation,
         op12_whitening,
+        op13_collocations,
     )
 }
 
@@ -190,5 +196,25 @@ t AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) A
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+""",
+    "op13_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) AS v(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+x AS (SELECT lang, k, a, array_to_string(w[i:i + j - 1], ' ') AS phrase
+      FROM (SELECT lang, k, a, w, j, unnest(range(1, k - j + 2)) AS i FROM c, (VALUES (2), (3), (4)) AS v(j) WHERE j < k)),
+o AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.a >= 100 * c.a)),
+u AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS j FROM o),
+s AS (SELECT u.lang, u.phrase, j, a, h.f AS l, e.f AS r, n, (1000::HUGEINT * a * n) // (h.f::HUGEINT * e.f) AS score
+      FROM u JOIN f h ON h.lang = u.lang AND h.phrase = array_to_string(w[1:j], ' ')
+      JOIN f e ON e.lang = u.lang AND e.phrase = array_to_string(w[j + 1:], ' ') JOIN t ON t.lang = u.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM k WHERE rank <= 2000
 """,
 }
