@@ -222,25 +222,20 @@ def test_scores_beyond_64_bits(spark):
     assert row.select(F.expr(text)).first()[0] == 1000 * 9 * 10**11 * 6 * 10**12 // (8 * 10**11 * 7 * 10**11)
 
 
-def test_every_frequent_key_survives():
-    """Merged summaries keep every key that reaches the threshold, however small they start."""
+@pytest.mark.parametrize("capacity", [1100, 8])
+def test_every_frequent_key_survives(capacity):
+    """Merged summaries keep every key that reaches the threshold, even if they start too small."""
     rng = np.random.default_rng(7)
-    collocations_capacity = collocations.LEAST_CAPACITY
-    try:
-        collocations.LEAST_CAPACITY = 8
-        stream = np.r_[np.repeat(np.arange(30, dtype=np.uint32), 40), rng.integers(1000, 100_000, 20_000).astype(np.uint32)]
-        rng.shuffle(stream)
-        summary = collocations.Summary(40)
-        for part in np.array_split(stream, 50):
-            keys, counts = np.unique(part, return_counts=True)
-            packed = collocations.pack_summary(keys, counts.astype(np.uint32))
-            keys, counts = collocations.unpack_summary(*packed)
-            summary.add(keys, counts)
-        assert set(range(30)) <= set(summary.survivors().tolist())
-        assert summary.taken < 40
-        assert len(summary.keys) < 3000
-    finally:
-        collocations.LEAST_CAPACITY = collocations_capacity
+    stream = np.r_[np.repeat(np.arange(30, dtype=np.uint32), 40), rng.integers(1000, 100_000, 20_000).astype(np.uint32)]
+    rng.shuffle(stream)
+    summary = collocations.Summary(40, capacity)
+    for part in np.array_split(stream, 50):
+        keys, counts = np.unique(part, return_counts=True)
+        summary.add(*collocations.unpack_summary(*collocations.pack_summary(keys, counts.astype(np.uint32))))
+    assert set(range(30)) <= set(summary.survivors().tolist())
+    assert 0 < summary.taken < 40
+    assert len(summary.keys) <= summary.capacity
+    assert capacity == 8 or summary.capacity == capacity
 
 
 def test_slices_cut_anywhere(monkeypatch):

@@ -1,10 +1,10 @@
 """Phrase collocations: frequent n-grams by mergeable Misra-Gries summaries, then exact counts and scores.
 
 The first pass turns texts into n-gram hashes. The hashes of each length are dealt to hash partitions, every task
-sends one summary for each, and summaries of a partition are merged. A summary that gets too large takes the same
-amount from all its counters; what it has taken in all stays below the threshold, for a summary that would go beyond grows
-instead, so its capacity exceeds mass divided by threshold and every n-gram that is frequent enough survives. The second
-pass counts what survived exactly, under the phrases themselves.
+sends one summary for each, and summaries of a partition are merged. A summary beyond its capacity takes the same
+amount from all its counters. The capacity is twice the mass of a partition divided by the threshold, or more, so what is
+taken in all stays below the threshold and every n-gram that is frequent enough survives. The second pass counts what
+survived exactly, under the phrases themselves.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ THRESHOLD, LONGEST, TOP = 100, 5, 2000
 
 #: Bytes of text that are split into words at once, and words that are summarised at once.
 SLICE_BYTES, SUMMARY_WORDS = 8 << 20, 4_000_000
-#: Counters of a new summary; it doubles when cutting it would take more than the threshold allows.
+#: Counters of a summary at least.
 LEAST_CAPACITY = 1 << 16
 #: Text of a hash partition.
 PARTITION_BYTES = 256 << 20
@@ -130,10 +130,14 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Summary:
-    """Counters of one hash partition. ``taken`` is by how much a count may be too low, always under the threshold."""
+    """Counters of one hash partition. ``taken`` is by how much a count may be too low, always under the threshold.
 
-    def __init__(self, threshold: int):
-        self.threshold, self.capacity = threshold, LEAST_CAPACITY
+    The capacity should be twice the mass to come divided by the threshold. A partition that gets more than that
+    grows, rather than taking half the threshold.
+    """
+
+    def __init__(self, threshold: int, capacity: int):
+        self.threshold, self.capacity = threshold, capacity
         self.keys, self.counts, self.taken = np.empty(0, np.uint32), np.empty(0, np.uint32), 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray, taken: int = 0) -> None:
@@ -174,8 +178,12 @@ def _place(codes: np.ndarray, parts: int) -> np.ndarray:
     return ((codes >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32) | codes & np.uint64(0xFFFFFFFF)
 
 
-def survivors(docs: DataFrame, threshold: int, longest: int, parts: int) -> DataFrame:
-    """``size, part, keys``: per n-gram length and hash partition the keys of all n-grams that may reach the threshold."""
+def survivors(docs: DataFrame, threshold: int, longest: int, parts: int, size_of: int) -> DataFrame:
+    """``size, part, keys``: per n-gram length and hash partition the keys of all n-grams that may reach the threshold.
+
+    Texts of ``size_of`` bytes have half as many words at most, and not more n-grams of any length.
+    """
+    capacity = max(LEAST_CAPACITY, 1 + size_of // (parts * threshold))
     schema = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +211,7 @@ def survivors(docs: DataFrame, threshold: int, longest: int, parts: int) -> Data
         yield from flush()
 
     def merge(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        summary = Summary(threshold)
+        summary = Summary(threshold, capacity)
         for batch in batches:
             each = [unpack_summary(*own) for own in zip(batch["keys"], batch["counts"], strict=True)]
             if each:
@@ -258,7 +266,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
     size_of = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size_of // PARTITION_BYTES))
-    wanted = spark.sparkContext.broadcast(bitmap(stored(survivors(docs, threshold, longest, parts), "survivors")))
+    wanted = spark.sparkContext.broadcast(bitmap(stored(survivors(docs, threshold, longest, parts, size_of), "survivors")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "size", "phrase", "f"]
