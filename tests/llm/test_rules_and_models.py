@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vendue.llm import hamming_join, language_evidence, line_frequency, quality_cascade, surrogates, toxicity, url_rules
@@ -215,6 +216,73 @@ def test_names_without_a_title(make_docs):
     assert not {john, smith, anna, weber} & {"John", "Smith", "Anna", "Weber"} and found[5] == (None, 0)
 
 
+def test_form_of_surrogates(make_docs):
+    """Script and case are kept letter by letter, secrets are told apart by case, IPv6 addresses are found."""
+    secrets = ["AbCdEfGhIjKlMnOpQrSt", "abCdEfGhIjKlMnOpQrSt", "0123456789ABCDEF0123", "0123456789abcdef0123"]
+    texts = ["иван@пример.рф", "Иван@Пример.рф", "Bob.Lee@Some-Host.org", *(f"token={x}" for x in secrets), "at fe80::1ff:fe23:4567:890a now",
+             "2001:db8:85a3:0:0:8a2e:370:7334, 2001:DB8:85A3:0:0:8A2E:370:7334", "std::vector a::b 12:30:45 ::1", "王伟@例子.中国"]
+    found = {r["doc_id"]: (r["text"], r["n_entities"]) for r in surrogates.replace_private(make_docs(list(enumerate(texts))), "k").collect()}
+    assert re.fullmatch(r"[а-я]{4}@[а-я]{6}\.example", found[0][0]) and found[1][0] == found[0][0][0].upper() + found[0][0][1:5] + found[0][0][5].upper() + found[0][0][6:]
+    assert re.fullmatch(r"[A-Z][a-z]{2}\.[A-Z][a-z]{2}@[A-Z][a-z]{3}-[A-Z][a-z]{3}\.example", found[2][0])
+    new = [found[i][0].removeprefix("token=") for i in range(3, 7)]
+    assert len(set(new)) == 4 and not set(new) & set(secrets)
+    assert [c.isupper() for c in new[0]] == [c.isupper() for c in secrets[0]]
+    assert re.fullmatch("[0-9A-F]{20}", new[2]) and re.fullmatch("[0-9a-f]{20}", new[3])
+    assert re.fullmatch(r"at [0-9a-f]{4}::[0-9a-f]{3}:[0-9a-f]{4}:[0-9a-f]{4}:[0-9a-f]{4} now", found[7][0]) and found[7][0] != texts[7]
+    low, high = found[8][0].split(", ")
+    assert high == low.upper() and low != "2001:db8:85a3:0:0:8a2e:370:7334" and found[8][1] == 2
+    assert found[9] == (texts[9], 0)
+    assert re.fullmatch(r"\w{2}@\w{2}\.example", found[10][0]) and not set(found[10][0]) & set("王伟例子")
+
+
+def test_long_runs(make_docs):
+    """Groups that repeat without a bound take no stack."""
+    texts = [" ".join(["Word"] * 200_000), "a@" + ".".join(["b"] * 50_000), "Mr John Smith " + "John " * 100_000, "token=" + "a" * 200_000, "1 " * 100_000, "1:" * 100_000]
+    found = {r["doc_id"]: (r["text"], r["n_entities"]) for r in surrogates.replace_private(make_docs(list(enumerate(texts))), "k").collect()}
+    assert found[0] == (texts[0], 0) and found[4][1] >= 0 and found[5] == (texts[5], 0)
+    assert found[1][1] == found[3][1] == 1 and found[1][0].endswith(".example") and len(found[3][0]) == len(texts[3])
+    assert "John" not in found[2][0]
+
+
+def test_more_entities_than_short_surrogates(make_docs):
+    """Surrogates grow when there are not enough short ones; all stay apart and none is an entity."""
+    mails = [f"{a}@{b}.c{k}" for a in "abcdefghij" for b in "abcdefghijklm" for k in range(10)]
+    found = surrogates.replace_private(make_docs([(i, m) for i, m in enumerate(mails)]), "k").collect()
+    assert len({r["text"] for r in found}) == len(mails) == 1300 and not {r["text"] for r in found} & set(mails)
+
+
+def test_private_data_by_hand(make_docs):
+    """On drawn texts: what is between mentions stays, one entity has one surrogate, different ones differ, forms agree."""
+    rng = random.Random(11)
+    pool = {
+        "email": [f"{a}{k}@mail{k % 3}.example.com" for a in ("ann", "Bob", "x.y") for k in range(8)],
+        "ip": [f"10.{k}.3.{k * 7 % 250}" for k in range(1, 20)], "number": [f"45{k:02}85238039213{k % 10}" for k in range(20)],
+        "phone": [f"+1 ({200 + k}) 555-{1000 + k}" for k in range(20)], "secret": [f'token = "{k:02}e64be24439e3e49cf46b2d7c"' for k in range(10)],
+    }
+    rows, plan = [], {}
+    for i in range(120):
+        chosen = [(kind, rng.choice(pool[kind])) for kind in rng.choices(list(pool), k=rng.randrange(6))]
+        gaps = [" ".join(rng.choices(["word", "of", "und", "é", "x1"], k=rng.randrange(1, 9))) for _ in range(len(chosen) + 1)]
+        plan[i] = chosen, gaps
+        rows.append((i, gaps[0] + "".join(f" {m} , {g}" for (_, m), g in zip(chosen, gaps[1:], strict=True))))
+    docs = make_docs([*rows, rows[0]]).withColumns({"__h1": F.lit("mine"), "__found": F.lit(1), "mention": F.lit(None).cast("int"), "__row": F.lit("r")})
+    frame = surrogates.replace_private(docs, "k")
+    assert frame.columns == [*docs.columns, "n_entities"]
+    known = {}
+    for r in frame.collect():
+        chosen, gaps = plan[r["doc_id"]]
+        pattern = re.escape(gaps[0]) + "".join(r" (.+) , " + re.escape(g) for g in gaps[1:])
+        new = re.fullmatch(pattern, r["text"])
+        assert new and r["n_entities"] == len(chosen) and (r["__h1"], r["__found"], r["mention"], r["__row"]) == ("mine", 1, None, "r")
+        for (kind, old), own in zip(chosen, new.groups(), strict=True):
+            assert known.setdefault((kind, old.lower()), own.lower()) == own.lower() and own != old
+            if kind != "ip":
+                form = [re.sub("[a-z]", "a", re.sub(r"\d", "0", x.split("@")[0].split("=")[-1])) for x in (old.lower(), own.lower())]
+                assert form[0] == form[1] or kind == "secret" and len(form[0]) == len(form[1])
+    assert len(set(known.values())) == len(known)
+    assert surrogates.replace_private(docs.where("false"), "k").collect() == []
+
+
 def test_other_keys_other_surrogates(make_docs, private):
     found = surrogates.replace_private(make_docs([(8, "al@x.org")]), "key two").first()["text"]
     assert found not in ("al@x.org", private[2][8][0])

@@ -33,17 +33,33 @@ ENDINGS = {
     "greek": {"m": "ρδος", "f": "λια", "n": "ν", "s": "ς"},
 }
 
+# Letters of surrogates by script, where they are not Latin ones.
+ALPHABETS = {
+    "Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
+    "Greek": "αβγδεζηθικλμνξοπρστυφχψω",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "Devanagari": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+    "Hangul": "가나다라마바사아자차카타파하",
+    "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねの",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノ",
+    "Han": "安白成大東方光海和江金林明南平青山石水天文西新元",
+}
+
 _WORD = r"\p{Lu}[\p{L}'’]++"
 _TITLE = "|".join(t for own in TITLES.values() for t in own)
+_GROUP = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # Numbers: a run without separators first, then the group sizes of cards, then other groups, which stop before a run.
 _GROUPED = r"(?:\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13})"
 _END = r"(?![\p{L}\p{N}]|\.\d)"
-# Every alternative starts at the edge of a token and takes runs as a whole, so a text is read in linear time.
+# Every alternative starts at the edge of a token and takes runs as a whole, so a text is read in linear time. Groups that
+# may repeat without a bound are possessive: Java's other groups take stack for every repetition.
 _FORMS = {
     "secret": r"\b(?i:token|secret|password|passwd|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_=-]{16,}+",
-    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f:]*+(?<=\d[A-Fa-f:]{{0,39}})){_GROUP}(?:(?::{_GROUP}){{7}}|(?::{_GROUP}){{0,5}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
     "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\p{N})"
     r"|(?<![\p{L}\p{N}+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\p{N})",
     "number": rf"(?:(?<![\p{{L}}\p{{N}}.+-])|(?<=\d-))(?:\d{{13,19}}+|{_GROUPED}){_END}"
@@ -53,7 +69,7 @@ _FORMS = {
 PATTERN = "|".join(_FORMS.values())
 # Names without a title are looked up among these.
 _BARE = rf"(?<![\p{{L}}\p{{N}}]){_WORD}"
-_RUN = rf"{_BARE}(?:[ -]{_WORD})+"
+_RUN = rf"{_BARE}(?:[ -]{_WORD})++"
 _GENITIVE = r"['’]s?$"
 
 #: Texts with names known from other texts may be broadcast up to this many rows of 16 bytes; beyond it texts are shuffled.
@@ -68,7 +84,7 @@ def mentions(text: Column) -> Column:
 def _kind(mention: Column) -> Column:
     """Type of a mention by its own form, the same wherever it stands."""
     out = F.when(mention.rlike(rf"^(?:{_FORMS['secret']})$"), "secret")
-    for kind in ("email", "ip", "name"):
+    for kind in ("email", "ip", "ip6", "name"):
         out = out.when(mention.rlike(rf"^(?:{_FORMS[kind]})$"), kind)
     return out.when(mention.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone").otherwise("number")
 
@@ -104,7 +120,7 @@ def parts(found: DataFrame) -> DataFrame:
     gender = F.when(F.col("place") == F.col("n") - 1, "s").otherwise(_gender(F.regexp_replace("title", r"\.? $", "")))
     kind = F.when(F.col("kind") == "name", F.concat_ws(" ", F.lit("name"), script, gender)).otherwise(F.col("kind"))
     digits = F.regexp_replace("part", r"\D", "")
-    entity = F.when(F.col("kind").isin("phone", "number"), digits).otherwise(F.lower("part"))
+    entity = F.when(F.col("kind").isin("phone", "number"), digits).when(F.col("kind") == "secret", F.col("part")).otherwise(F.lower("part"))
     return rows.select("mention", "place", "lead", "part", "tail", kind.alias("kind"), entity.alias("entity"))
 
 
@@ -176,8 +192,10 @@ def _bare_names(gap: Column, names: Column) -> Column:
     """Number of names without a title; neighbouring words are one."""
     between = F.split(gap, _BARE, -1)
     known = F.transform(F.regexp_extract_all(gap, F.lit(_BARE), F.lit(0)), lambda w: _known_name(w, names).isNotNull())
-    starts = F.transform(known, lambda k, i: k & ~(F.coalesce(F.get(known, i - 1), F.lit(False)) & F.get(between, i).isin(" ", "-")))
-    return F.size(F.filter(starts, lambda x: x))
+    # a name goes on where the word before is one and a blank or hyphen is between
+    goes_on = F.zip_with(F.concat(F.array(F.lit(False)), known), between, lambda k, gap: k & gap.isin(" ", "-"))
+    starts = F.zip_with(known, goes_on, lambda k, on: k & ~F.coalesce(on, F.lit(False)))
+    return F.size(F.filter(starts, lambda x: F.coalesce(x, F.lit(False))))
 
 
 def _byte(seed: Column, i: Column) -> Column:
@@ -190,21 +208,37 @@ def _pick(letters: str, n: Column) -> Column:
     return F.substring(F.lit(letters), (n % len(letters) + 1).cast("int"), F.lit(1))
 
 
-def _scrambled(value: Column, seed: Column) -> Column:
-    """Letters become letters and digits digits; all else stays."""
+def _letter(c: Column, b: Column) -> Column:
+    """A letter of the same script and case."""
+    out = _pick(LOWER, b)
+    for script, letters in ALPHABETS.items():
+        out = F.when(c.rlike(rf"\p{{Is{script}}}"), _pick(letters, b)).otherwise(out)
+    return F.when(c != F.lower(c), F.upper(out)).otherwise(out)
+
+
+def _scrambled(value: Column, seed: Column, more: int = 0) -> Column:
+    """Letters become letters and digits digits; all else stays. ``more`` letters follow."""
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(seed, i)
-        return F.when(c.rlike(r"\p{N}"), _pick("0123456789", b)).when(c.rlike(r"\p{L}"), _pick(LOWER, b)).otherwise(c)
+        return F.when(c.rlike(r"\p{N}"), _pick("0123456789", b)).when(c.rlike(r"\p{L}"), _letter(c, b)).otherwise(c)
+
+    added = [_pick(LOWER, _byte(F.concat(seed, F.lit("+")), F.lit(k))) for k in range(more)]
+    return F.concat(F.array_join(F.transform(F.split(value, ""), one), ""), *added)
+
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+def _digits(seed: Column, n: int) -> Column:
+    return F.concat(F.lit(""), *(_pick("0123456789", _byte(F.concat(seed, F.lit("+")), F.lit(k))) for k in range(n)))
 
 
 def _hex(value: Column, seed: Column) -> Column:
+    """Hexadecimal digits become others, in upper case if the value has it; all else stays."""
+
     def one(c: Column, i: Column) -> Column:
-        return _pick("0123456789abcdef", _byte(seed, i))
+        return F.when(c.rlike("[0-9A-Fa-f]"), _pick("0123456789abcdef", _byte(seed, i))).otherwise(c)
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+    out = F.array_join(F.transform(F.split(value, ""), one), "")
+    return F.when(value.rlike("[A-F]"), F.upper(out)).otherwise(out)
 
 
 def _luhn(digits: Column) -> Column:
@@ -213,9 +247,9 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda s, v: s + F.when(v > 9, v - 9).otherwise(v)) % 10
 
 
-def _number(value: Column, seed: Column) -> Column:
-    """Digits anew; the last one keeps a valid check digit valid and an invalid one invalid."""
-    body = F.substring(_scrambled(value, seed), F.lit(1), (F.length(value) - 1).cast("int"))
+def _number(value: Column, seed: Column, more: int) -> Column:
+    """Digits anew, and ``more`` of them; the last one keeps a valid check digit valid and an invalid one invalid."""
+    body = F.concat(F.substring(_scrambled(value, seed), F.lit(1), (F.length(value) - 1).cast("int")), _digits(seed, more))
     check = (10 - _luhn(F.concat(body, F.lit("0")))) % 10
     off = F.when(_luhn(value) == 0, 0).otherwise(1 + _byte(seed, F.lit(95)) % 9)
     return F.concat(body, ((check + off) % 10).cast("int").cast("string"))
@@ -233,22 +267,35 @@ def _name(kind: Column, seed: Column, attempt: int) -> Column:
 
 
 def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
-    """The keyed surrogate of an entity, in the same normal form as the entity."""
+    """The keyed surrogate of an entity, in the same normal form as the entity.
+
+    From the third attempt on it is longer by one more character each time, so there is room for any number of entities.
+    IPv4 addresses can't be longer and get the later form of addresses instead.
+    """
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, entity, F.lit(str(attempt))), 256)
+    # bound to a variable, so that it is not worked out again for every character
+    return F.transform(F.array(seed), lambda own: _surrogate(kind, entity, own, attempt))[0]
+
+
+def _surrogate(kind: Column, entity: Column, seed: Column, attempt: int) -> Column:
+    more = max(0, attempt - 1)
     host = F.substring_index(entity, "@", -1)
     local = F.substring(entity, F.lit(1), (F.length(entity) - F.length(host) - 1).cast("int"))
     labels = F.regexp_replace(host, r"\.[^.]*$", "")
     # the name ends in a reserved top level, so no real mailbox is hit
-    email = F.concat(_scrambled(local, seed), F.lit("@"), _scrambled(labels, F.concat(seed, F.lit("h"))), F.lit(".example"))
-    octets = [(_byte(seed, F.lit(k)) % 254 + 1).cast("string") for k in range(4)]
+    email = F.concat(_scrambled(local, seed, more), F.lit("@"), _scrambled(labels, F.concat(seed, F.lit("h"))), F.lit(".example"))
+    octets = F.concat_ws(".", *((_byte(seed, F.lit(k)) % 254 + 1).cast("string") for k in range(4)))
+    groups = F.concat_ws(":", *(F.substring(seed, 4 * k + 1, 4) for k in range(8)))
     first = F.substring(entity, 1, 1)
-    phone = F.concat(first, _scrambled(F.substring(entity, F.lit(2), F.length(entity)), seed))
-    secret = F.when(entity.rlike("^[0-9a-f]+$"), _hex(entity, seed)).otherwise(_scrambled(entity, seed))
+    phone = F.concat(first, _scrambled(F.substring(entity, F.lit(2), F.length(entity)), seed), _digits(seed, more))
+    is_hex = entity.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    secret = F.when(is_hex, F.concat(_hex(entity, seed), _digits(seed, more))).otherwise(_scrambled(entity, seed, more))
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.concat_ws(".", *octets))
+        .when(kind == "ip", octets if attempt < 8 else groups)
+        .when(kind == "ip6", _hex(entity, seed) if attempt < 2 else groups)
         .when(kind == "phone", phone)
-        .when(kind == "number", _number(entity, seed))
+        .when(kind == "number", _number(entity, seed, more))
         .when(kind == "secret", secret)
         .otherwise(_name(kind, seed, attempt))
     )
@@ -279,6 +326,7 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 def _rendered() -> Column:
     """A surrogate in the form of its mention: case, and separators between digits."""
     part, new = F.col("part"), F.col("surrogate")
+    n = F.length(F.regexp_replace(part, r"\D", ""))
     spread = F.array_join(
         F.transform(
             F.split(part, ""),
@@ -289,20 +337,27 @@ def _rendered() -> Column:
         ),
         "",
     )
-    shown = F.when(F.col("kind").isin("phone", "number"), spread).otherwise(new)
-    upper = (F.upper(part) == part) & (F.lower(part) != part)
-    capital = F.col("kind").startswith("name")
-    shown = F.when(upper & (F.length("part") > 1), F.upper(shown)).when(capital, F.initcap(shown)).otherwise(shown)
+    spread = F.concat(spread, F.substring(new, n + 1, F.length(new)))
+    cased = F.array_join(F.zip_with(F.split(new, ""), F.split(part, ""), lambda c, own: F.when(own.rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    upper = (F.upper(part) == part) & (F.lower(part) != part) & (F.length("part") > 1)
+    shown = (
+        F.when(F.col("kind").isin("phone", "number"), spread)
+        .when(F.col("kind") == "secret", new)
+        .when(upper, F.upper(new))
+        .when(F.col("kind").startswith("name"), F.initcap(new))
+        .otherwise(cased)
+    )
     return F.concat("lead", shown, "tail")
 
 
 def replace_private(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every mention in ``text`` replaced, and ``n_entities``, the number of mentions.
 
-    Types are secrets after a key word, e-mail and IPv4 addresses, phone numbers, numbers of 13 to 19
+    Types are secrets after a key word, e-mail, IPv4 and IPv6 addresses, phone numbers, numbers of 13 to 19
     digits, and names. Null and empty texts and texts without a mention stay as they are,
-    as do all rows and columns; a column named ``n_entities`` is replaced. Mentions that differ in case or
-    separators alone are one entity. The key decides the surrogates; keep it secret.
+    as do all rows and columns, whatever their names; a column named ``n_entities`` is replaced. Mentions that differ in
+    case or separators alone are one entity, but for secrets, where case counts. A surrogate has the script and case of each
+    letter it stands for. The key decides the surrogates; keep it secret. An empty table gives an empty one.
 
     In a text that has a name, by a title or as two neighbouring words that some text of the corpus writes after a
     title, all capitalised words equal to a part of it are replaced by the same surrogate, with a title or without.
@@ -310,10 +365,13 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     The pattern runs once over the texts, which are written with their mentions. Only texts with mentions or
     such names are joined with their replacements, on a hash of the text, so copies are treated once.
     """
-    columns = [c for c in docs.columns if c != "n_entities"]
+    # the caller's columns travel in one, so their names are free
+    columns = [c for c in docs.columns if c not in ("n_entities", "text")]
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)) if columns else F.struct(F.lit(0))
     hashed = [F.xxhash64("text").alias("__h1"), F.xxhash64("text", F.lit(1)).alias("__h2")]
     hashes = ["__h1", "__h2"]
-    rows = docs.select(*(f"`{c}`" for c in columns)).withColumn("__found", mentions(F.col("text"))).withColumn("__pairs", _pairs(F.col("text")))
+    rows = docs.select(row.alias("__row"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("__found", mentions(F.col("text"))).withColumn("__pairs", _pairs(F.col("text")))
     rows = stored(rows.select("*", *hashed), "mentions")
     found, clean = rows.where(F.size("__found") > 0), rows.where(F.size("__found") == 0)
     distinct = found.select(F.explode("__found").alias("mention")).distinct()
@@ -337,5 +395,6 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     bare = F.when(own.isNull(), 0).otherwise(F.aggregate(F.transform(gaps, lambda g: _bare_names(g, own)), F.lit(0), lambda a, b: a + b))
     n = F.size("__found").cast("long")
     private = private.join(of_text, hashes).withColumn("n_entities", n + bare).withColumn("text", text)
-    keep = [*(f"`{c}`" for c in columns), "n_entities"]
-    return clean.withColumn("n_entities", n).select(*keep).unionByName(private.select(*keep))
+    out = clean.withColumn("n_entities", n).select("__row", "text", "n_entities").unionByName(private.select("__row", "text", "n_entities"))
+    own = [F.col("text") if c == "text" else F.col(f"__row.`{c}`") for c in docs.columns if c != "n_entities"]
+    return out.select(*own, "n_entities")
