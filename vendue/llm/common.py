@@ -58,6 +58,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, frame: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame that nothing reads any more."""
+    for name in frame.inputFiles()[:1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _changed(edges: DataFrame) -> tuple:
     return tuple(
         edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -88,7 +95,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
-        e = (
+        before, e = e, (
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(low.select("a", F.col("m").alias("b")))
             .where("a <> b")
@@ -96,6 +103,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         )
         e = stored(e, name)
         now = _changed(e)
+        removed(e.sparkSession, before)  # the new edges are read from their own files
         if now == seen:
             break
         seen = now

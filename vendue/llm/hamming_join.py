@@ -15,19 +15,21 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendue.llm.common import components, raw_bytes, small_batches, stored
 
-#: 19 chunks of 5 values with one error each: every pair with up to 37 of 95 values apart is
-#: found. At a similarity of 0.8 six pairs in a million are further apart than that.
-CHUNKS, WIDTH, ERRORS = 19, 5, 1
+#: 16 chunks of 4 values with one error each: every pair with up to 31 of 64 values apart is
+#: found. At a similarity of 0.8 one pair in ten million is further apart than that.
+CHUNKS, WIDTH, ERRORS = 16, 4, 1
 VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * (ERRORS + 1) - 1
 
 #: Keys with more classes than this give a star in place of all pairs.
 PAIRED_BUCKET = 8
+#: Classes whose keys a task puts together before they are shuffled.
+HELD_CLASSES = 20_000
 
 #: Shingles that are confirmed together in one task.
 BLOCK_SHINGLES = 1_000_000
@@ -126,20 +128,59 @@ def _classes(rows: DataFrame) -> DataFrame:
     ).dropDuplicates(["k1", "k2", "n"])
 
 
+def held_keys(node: np.ndarray, n: np.ndarray, signatures: np.ndarray) -> pd.DataFrame:
+    """``key, node, n, weight, hub``: keys of some classes, at most ``PAIRED_BUCKET`` rows a key.
+
+    Of a key with more classes the smallest stay, the first of them as the hub with a weight of all that went. The others
+    are rows with this hub, each under its own number in place of a key.
+    """
+    if not len(node):
+        return pd.DataFrame({c: np.empty(0, np.int64) for c in ("key", "node", "n", "weight", "hub")})
+    keys = chunk_keys(signatures)
+    who = np.repeat(np.arange(len(node)), keys.shape[1])
+    keys = keys.ravel()
+    order = np.lexsort((node[who], n[who], keys))
+    keys, who = keys[order], who[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[first, len(keys)])
+    rank = np.arange(len(keys)) - np.repeat(first, sizes)
+    weight = np.where(rank == 0, np.repeat(np.maximum(sizes - PAIRED_BUCKET, 0) + 1, sizes), 1)
+    kept = rank < PAIRED_BUCKET
+    rows = pd.DataFrame({"key": keys[kept], "node": node[who[kept]], "n": n[who[kept]], "weight": weight[kept], "hub": node[who[kept]]})
+    far = pd.DataFrame({"node": node[who[~kept]], "hub": node[np.repeat(who[first], sizes)[~kept]]}).drop_duplicates()
+    return pd.concat([rows, far.assign(key=far["node"], n=0, weight=1)[rows.columns]])
+
+
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: edges that put all pairs of classes under the signature distance into one cluster."""
+    """``a, b``: edges that put all pairs of classes under the signature distance into one cluster.
 
-    @F.pandas_udf("array<long>")
-    def keys_of(sig: pd.Series) -> pd.Series:
-        if not len(sig):
-            return pd.Series([], dtype=object)
-        return pd.Series(list(chunk_keys(np.frombuffer(b"".join(sig), "<u2").reshape(-1, VALUES))))
-
-    keys = classes.select("node", F.col("n").cast("int").alias("n"), F.explode(keys_of("sig")).alias("key"))
-    buckets = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("n", "node")).alias("hub"))
-    buckets = buckets.where("members > 1").select("key", "members", F.col("hub.node").alias("hub"))
-    members = stored(keys.join(buckets, "key"), "buckets")
-    few = members.where(F.col("members") <= PAIRED_BUCKET).select("key", "node", "n")
+    Keys are made and shuffled once; a key that many classes share comes from each task with a few rows.
+    """
+
+    def keys_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+
+        def flush() -> pd.DataFrame:
+            own = pd.concat(held)
+            sig = np.frombuffer(b"".join(own["sig"]), "<u2").reshape(-1, VALUES)
+            return held_keys(own["node"].to_numpy(), own["n"].to_numpy(), sig)
+
+        for part in parts:
+            held.append(part)
+            rows += len(part)
+            if rows >= HELD_CLASSES:
+                yield flush()
+                held, rows = [], 0
+        if rows:
+            yield flush()
+
+    keys = classes.select("node", F.col("n").cast("long").alias("n"), "sig").mapInPandas(keys_of, "key long, node long, n long, weight long, hub long")
+    own = Window.partitionBy("key")
+    keys = keys.withColumns({"members": F.sum("weight").over(own), "first": F.min(F.struct("n", "node")).over(own)})
+    members = keys.where("members > 1 or hub <> node").withColumn("hub", F.when(F.col("hub") == F.col("node"), F.col("first.node")).otherwise(F.col("hub")))
+    members = members.select("key", "node", F.col("n").cast("int").alias("n"), "members", "hub", (F.col("n") == 0).alias("apart"))
+    members = stored(members, "buckets")
+    few = members.where((F.col("members") <= PAIRED_BUCKET) & ~F.col("apart")).select("key", "node", "n")
     left, right = few.toDF("key", "a", "na"), few.toDF("key", "b", "nb")
     ordered = "(na < nb or na = nb and a < b)"
     pairs = left.join(right, "key").where(f"{ordered} and 100L * na >= {percent}L * nb").select("a", "b").distinct()
@@ -151,7 +192,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         return pd.Series((x != y).sum(axis=1) <= MOST_APART)
 
     pairs = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").where(near("sa", "sb")).select("a", "b")
-    stars = members.where((F.col("members") > PAIRED_BUCKET) & (F.col("node") != F.col("hub")))
+    stars = members.where(((F.col("members") > PAIRED_BUCKET) | F.col("apart")) & (F.col("node") != F.col("hub")))
     return pairs.union(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
 
 
