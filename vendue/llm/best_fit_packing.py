@@ -1,8 +1,8 @@
 """Best-fit packing of token pieces by exact complements over a histogram of lengths.
 
 The plan is made from the number of pieces of each length alone, at most ``capacity``
-numbers however many pieces there are. Complements of one, two and three lengths are looked up
-in the histogram itself, without an index of sums; combinations that fill a gap exactly are used up as often as pieces are left, all at once;
+numbers however many pieces there are. An index has the lengths by the sums of one, two and three of
+them; combinations that fill a gap exactly are looked up there and used up as often as pieces are left, all at once;
 the rest goes best-fit. The pieces then find their places by their rank among those of
 equal length, so no task and no driver ever holds the pieces.
 """
@@ -24,6 +24,8 @@ from vendue.llm.common import small_batches, stored
 
 CAPACITY = 2048
 END_ID = 0
+#: White space characters in a row from which a text is encoded by ``tokenizers`` itself.
+LONG_RUN = 1000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -43,8 +45,9 @@ def _encoders(path: str):
     special = {t["content"] for t in spec["added_tokens"]}
     ranks = {b: n for b, n in ranks.items() if b.decode("latin-1") not in special}
     fast = tiktoken.Encoding("pieces", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
-    # Special tokens and letters beyond Latin, where versions of Unicode may differ, go the plain way.
-    plain = re.compile("|".join([*map(re.escape, special), "[^\\x00-\\u024F\\u2010-\\u2026]"]))
+    # Special tokens, letters beyond Latin, where versions of Unicode may differ, and long runs of white space, which
+    # the fast form would go back over blank by blank, go the plain way.
+    plain = re.compile("|".join([*map(re.escape, special), "[^\\x00-\\u024F\\u2010-\\u2026]", f"(?<!\\s)\\s{{{LONG_RUN}}}"]))
     return whole, fast, plain
 
 
@@ -99,6 +102,39 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: boo
     return docs.mapInPandas(run, PIECES + (", ids array<long>" if keep_ids else ""))
 
 
+class SumIndex:
+    """Lengths by the sums of one, two and three of them, up to the capacity.
+
+    A pair has the longer length first. A triple is its longest length, with the pair of what is left of the sum, none of
+    it longer. Which of them are still available is up to the caller's counts.
+    """
+
+    def __init__(self, lengths: np.ndarray, capacity: int):
+        self.singles = set(lengths.tolist())
+        one, two = np.tril_indices(len(lengths))
+        one, two = lengths[one], lengths[two]
+        fits = one + two <= capacity
+        one, two = one[fits], two[fits]
+        order = np.lexsort((one, one + two))
+        self.longer, self.shorter = one[order], two[order]
+        self.pair_at = np.searchsorted(self.longer + self.shorter, np.arange(capacity + 2))
+        sums = np.flatnonzero(np.diff(self.pair_at))
+        # of a sum the pairs stand by their longer length, so the first one tells if any is short enough
+        most, left = np.meshgrid(lengths, sums, indexing="ij")
+        good = (most + left <= capacity) & (self.longer[self.pair_at[left]] <= most)
+        most, left = most[good], left[good]
+        order = np.lexsort((most, most + left))
+        self.longest = most[order]
+        self.triple_at = np.searchsorted((most + left)[order], np.arange(capacity + 2))
+
+    def pairs(self, total: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.pair_at[total], self.pair_at[total + 1])
+        return self.longer[own], self.shorter[own]
+
+    def triples(self, total: int) -> np.ndarray:
+        return self.longest[self.triple_at[total] : self.triple_at[total + 1]]
+
+
 class Plan:
     """Bins as patterns: so many sequences of these lengths in this order."""
 
@@ -124,36 +160,35 @@ class Plan:
 
     def _fill_exactly(self) -> None:
         """From the longest length down: complements of one, two, then three pieces, as often as they last."""
-        for longest in range(self.capacity - 1, 0, -1):
+        lengths = np.flatnonzero(self.left)
+        if not len(lengths):
+            return
+        index = SumIndex(lengths, self.capacity)
+        for longest in lengths[::-1].tolist():
             gap = self.capacity - longest
-            for find in (self._single, self._pair, self._triple):
-                at = 0
-                while self.left[longest] > 0 and (found := find(gap, longest, at)):
-                    rest, at = found
-                    if times := self._times((longest, *rest)):
-                        self._take((longest, *rest), times)
-                    else:
-                        at += 1
-
-    def _single(self, gap: int, most: int, at: int) -> tuple[tuple[int, ...], int] | None:
-        return ((gap,), 1) if at == 0 and gap <= most and self.left[gap] else None
-
-    def _pair(self, gap: int, most: int, at: int) -> tuple[tuple[int, ...], int] | None:
-        """The next pair from length ``at`` on that sums to the gap, the longer one first."""
-        a = np.arange(max(at, (gap + 1) // 2), min(most, gap - 1) + 1)
-        good = np.flatnonzero((self.left[a] > 0) & (self.left[gap - a] > 0)) if len(a) else ()
-        return ((int(a[good[0]]), int(gap - a[good[0]])), int(a[good[0]])) if len(good) else None
-
-    def _triple(self, gap: int, most: int, at: int) -> tuple[tuple[int, ...], int] | None:
-        """The next triple whose longest is at ``at`` or above and whose others are a pair for what is left."""
-        for a in range(max(at, -(-gap // 3)), min(most, gap - 2) + 1):
-            if self.left[a] > 0:
-                start = 0
-                while pair := self._pair(gap - a, a, start):
-                    if self._times((a, *pair[0])):
-                        return (a, *pair[0]), a
-                    start = pair[1] + 1
-        return None
+            for rest in self._complements(index, gap, longest):
+                if not self.left[longest]:
+                    break
+                if times := self._times((longest, *rest)):
+                    self._take((longest, *rest), times)
+
+    def _complements(self, index: SumIndex, gap: int, most: int) -> Iterator[tuple[int, ...]]:
+        """Combinations of available lengths that sum to the gap, none of them longer than ``most``."""
+        if gap in index.singles and gap <= most and self.left[gap]:
+            yield (gap,)
+        yield from self._pairs(index, gap, most)
+        for longest in index.triples(gap).tolist():
+            if longest > most:
+                return
+            if self.left[longest]:
+                yield from ((longest, *pair) for pair in self._pairs(index, gap - longest, longest))
+
+    def _pairs(self, index: SumIndex, total: int, most: int) -> Iterator[tuple[int, int]]:
+        longer, shorter = index.pairs(total)
+        good = (longer <= most) & (self.left[longer] > 0) & (self.left[shorter] > 0)
+        for pair in zip(longer[good].tolist(), shorter[good].tolist(), strict=True):
+            if self.left[pair[0]] and self.left[pair[1]]:  # they may have gone meanwhile
+                yield pair
 
     def _fill_best(self) -> None:
         """Longest first; the longest piece that fits goes into each gap, for all equal bins at once."""
