@@ -60,26 +60,28 @@ def drop_boilerplate(
     Lines are compared as they are, split at ``\\n``; lines of white space alone stay. A null text
     stays null, a text of boilerplate alone becomes empty. Pages without a site stay as they are. Every row
     stays, repeated ones and null ids as well; a column named ``n_dropped`` is replaced.
-    Copies of a page count as in ``boilerplate``. Only hashes of texts and lines are shuffled. Whole texts stay where they are read as long as the
+    Other columns are carried along, whatever their names. Copies of a page count as in ``boilerplate``. Only hashes of texts and lines are shuffled. Whole texts stay where they are read as long as the
     boilerplate of all sites is below ``BROADCAST_LINES``; else pages are joined by site and
     salt.
     """
     found = stored(boilerplate(docs, site, max_ratio, min_pages, copies), "boilerplate")
     columns = [c for c in docs.columns if c != "n_dropped"]
-    rows = docs.select(*(f"`{c}`" for c in columns)).withColumn("__site", F.col(site).cast("string"))
+    # the caller's columns travel in one, so their names are free
+    row = F.struct(*(F.col(f"`{c}`") for c in columns if c != "text"))
+    rows = docs.select(row.alias("row"), F.col("text"), F.col(f"`{site}`").cast("string").alias("site"))
     size = found.agg(F.coalesce(F.sum(F.size("lines") + 10), F.lit(0))).first()[0]
     if size <= BROADCAST_LINES:
-        joined = rows.join(F.broadcast(found.toDF("__site", "__lines")), "__site", "left")
+        joined = rows.join(F.broadcast(found.toDF("site", "lines")), "site", "left")
     else:
         salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64("text"), F.lit(SALT)).cast("int"))
-        joined = rows.join(salted.toDF("__site", "__lines", "__salt"), ["__site", "__salt"], "left")
-    own = F.array_intersect(line_hashes(), "__lines")
-    rows = joined.withColumn("__own", F.when(F.col("__lines").isNotNull() & F.col("text").isNotNull(), own))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALT)).cast("int"))
+        joined = rows.join(salted.toDF("site", "lines", "salt"), ["site", "salt"], "left")
+    own = F.array_intersect(line_hashes(), "lines")
+    rows = joined.withColumn("own", F.when(F.col("lines").isNotNull() & F.col("text").isNotNull(), own))
     pairs = F.arrays_zip(F.split("text", "\n", -1).alias("line"), line_hashes().alias("hash"))
-    kept = F.filter(pairs, lambda p: p["hash"].isNull() | ~F.array_contains("__own", p["hash"]))
-    some = F.size("__own") > 0
+    kept = F.filter(pairs, lambda p: p["hash"].isNull() | ~F.array_contains("own", p["hash"]))
+    some = F.size("own") > 0
     text = F.when(some, F.array_join(F.transform(kept, lambda p: p["line"]), "\n")).otherwise(F.col("text"))
     dropped = F.when(some, F.size(pairs) - F.size(kept)).otherwise(0).cast("long")
     out = rows.withColumn("n_dropped", dropped).withColumn("text", text)
-    return out.select(*(f"`{c}`" for c in columns), "n_dropped")
+    return out.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in columns), "n_dropped")

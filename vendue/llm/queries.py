@@ -38,8 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    # the SQL's rule: every row is a page, and a line goes above a fifth of them
-    return line_frequency.drop_boilerplate(docs, max_ratio=0.2, copies=True)
+    return line_frequency.drop_boilerplate(docs)
 
 
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,10 +128,11 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM h LEFT JO
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
 l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
-t AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
-b AS (SELECT source, line FROM (SELECT DISTINCT r, source, line FROM l) JOIN t USING (source)
+u AS (SELECT source, text, min(r) AS r FROM d GROUP BY source, text),
+t AS (SELECT source, count(*) AS pages FROM u GROUP BY source),
+b AS (SELECT source, line FROM (SELECT DISTINCT r, l.source, line FROM l JOIN u USING (r)) JOIN t USING (source)
       WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
-      GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) > 0.2 * pages),
+      GROUP BY source, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages),
 k AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY i) FILTER (WHERE b.source IS NULL) AS text,
         count(b.source) AS n_dropped
       FROM l LEFT JOIN b ON l.source = b.source AND l.line = b.line GROUP BY l.r)
