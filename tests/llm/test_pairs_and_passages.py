@@ -329,3 +329,35 @@ def test_broken_archives(tmp_path, harm):
 def _member(data):
     pack = zlib.compressobj(6, zlib.DEFLATED, 31)
     return pack.compress(data) + pack.flush()
+
+
+def test_long_blank_runs():
+    """Texts with long runs of white space are encoded, as by ``tokenizers``."""
+    path = queries.tokenizer_path()
+    whole = packing._encoders(path)[0]
+    for text in (" " * 2_000_000, "\n" * 2_000_000, "a" + " \t" * 50_000 + "b", ("x" + " " * 999) * 30):
+        assert packing.token_ids(text, path).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_sum_index():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        lengths = np.unique(rng.integers(1, 60, rng.integers(1, 25)))
+        index = packing.SumIndex(lengths, 64)
+        for total in range(65):
+            pairs = sorted((a, b) for a in lengths for b in lengths if a >= b and a + b == total)
+            assert sorted(zip(*(x.tolist() for x in index.pairs(total)), strict=True)) == pairs
+            triples = {a for a in lengths for b in lengths for c in lengths if a >= b >= c and a + b + c == total}
+            assert set(index.triples(total).tolist()) == triples
+    assert packing.SumIndex(np.array([], np.int64), 64).pairs(5)[0].tolist() == []
+
+
+def test_equal_words_in_linear_time():
+    import time
+
+    words = "same " * 100_000
+    began = time.perf_counter()
+    automaton = decontaminate.SuffixAutomaton([("i", decontaminate.item_words(words))])
+    found = decontaminate.scan(automaton, [words])
+    assert found == [(100_000, [(0, 100_000)], ["i"])]
+    assert time.perf_counter() - began < 10

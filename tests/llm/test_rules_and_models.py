@@ -405,3 +405,54 @@ def test_stages_on_no_documents(spark, make_docs, tmp_path, at):
     pytest.importorskip("public_tokenizers")
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.STAGES[at][1](spark, make_docs([]), str(tmp_path)).count() == 0
+
+
+# every operator ------------------------------------------------------------------------
+
+CLASHING = ["row", "site", "lines", "own", "salt", "__row", "__lines", "__found", "__found_0", "__h1", "__names", "__list", "__is_toxic",
+            "key", "node", "hub", "label", "h", "span", "guest", "n", "m", "k1", "kind", "mention", "rank", "size", "phrase"]
+
+
+def operators(spark, docs):
+    """Name, result and whether every row stays, for each operator that takes documents."""
+    bench = spark.createDataFrame([("i1", " ".join(f"q{k}" for k in range(20)))], "item_id string, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    pages = docs.select("*", F.col("doc_id").alias("page_id"), F.lit("http://a.example.net/en/").alias("url"), F.col("text").alias("html"))
+    vectors = docs.select("*", F.col("doc_id").alias("vec_id"), F.array(F.col("doc_id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"))
+    none = docs.where("false").select("doc_id", "text", "lang")
+    from vendue.llm import best_fit_packing, collocations, decontaminate, one_permutation, warc, whitening
+
+    return {
+        "op1": (lambda: url_rules.judge(pages, url_rules.rules_frame(spark, RULES)), True),
+        "op2": (lambda: toxicity.score(docs, toxicity.fit(docs, labels)), True),
+        "op2 without labels": (lambda: toxicity.score(docs, toxicity.fit(docs, labels.where("false"))), True),
+        "op3": (lambda: warc.round_trip(pages), True),
+        "op4": (lambda: line_frequency.drop_boilerplate(docs), True),
+        "op5": (lambda: quality_cascade.measure(docs), True),
+        "op6": (lambda: surrogates.replace_private(docs, "k"), True),
+        "op7": (lambda: hamming_join.near_duplicates(docs), True),
+        "op7 keep": (lambda: hamming_join.keep_one(docs), False),
+        "op8": (lambda: language_evidence.identify(pages, language_evidence.fit_text_model(docs)), True),
+        "op8 without documents": (lambda: language_evidence.identify(pages, language_evidence.fit_text_model(none)), True),
+        "op9": (lambda: best_fit_packing.pack(docs, tokenizer_path()), True),
+        "op10": (lambda: decontaminate.judge(docs, bench), True),
+        "op10 remove": (lambda: decontaminate.remove_spans(docs, bench), True),
+        "op11": (lambda: one_permutation.compare_with_next(docs), True),
+        "op12": (lambda: whitening.whiten(vectors.where("doc_id is not null")), False),
+        "op13": (lambda: collocations.collocations(docs), False),
+    }
+
+
+OPERATORS = ["op1", "op2", "op2 without labels", "op3", "op4", "op5", "op6", "op7", "op7 keep", "op8", "op8 without documents", "op9", "op10", "op10 remove", "op11", "op12", "op13"]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_clashing_and_empty(spark, make_docs, name):
+    """Extra columns of any name, nulls, repeated rows; and tables without a row."""
+    rows = [(1, "Mr John Smith writes\nto a@b.org"), (2, "short"), (2, "short"), (None, None), (3, ""), (4, None), (5, "x" * 30_000)]
+    docs = make_docs(rows)
+    docs = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(CLASHING)))
+    run, all_rows = operators(spark, docs)[name]
+    found = run().collect()
+    assert not all_rows or len(found) >= len(rows)
+    assert operators(spark, docs.where("false"))[name][0]().collect() == []

@@ -59,6 +59,11 @@ class SuffixAutomaton:
         self._mark(ends, coded)
         pairs = np.unique(np.concatenate([self._pairs(np.array(w, np.int64)) for _, w in coded] or [np.empty(0, np.int64)]))
         self.pairs = pairs
+        # of every state the shortest suffix of a window's length or more, so that no match climbs a chain of links
+        self.window_state = list(range(len(self.length)))
+        for state in np.argsort(self.length, kind="stable").tolist()[1:]:
+            if self.length[self.link[state]] >= window:
+                self.window_state[state] = self.window_state[self.link[state]]
         #: Words a match needs at least to count.
         self.least = min([window, *(len(w) for _, w in coded)])
 
@@ -128,12 +133,11 @@ class SuffixAutomaton:
 
     def hits(self, word_ids: list[int]) -> Iterator[tuple[int, int, set[str]]]:
         """``last word, words, items`` of every window that occurs."""
-        window, link, length = self.window, self.link, self.length
+        window, link = self.window, self.link
         for i, (state, n) in enumerate(self.matches(word_ids)):
             at = state
             if n >= window:
-                while length[link[at]] >= window:
-                    at = link[at]
+                at = self.window_state[state]
                 yield i, window, self.items.get(at, set())
             if self.shorts:
                 while at > 0:
@@ -265,13 +269,16 @@ def find_test_items(
     """
     small_batches(docs.sparkSession)
     out, names = docs.drop("__found"), []
+    own = "__found_"  # a prefix that no column has
+    while any(c.lower().startswith(own) for c in out.columns):
+        own += "_"
     for number, (packed, block) in enumerate(_blocks(items, block_words)):
         data = packed.where(F.col("block") == block).select("data").first()[0]
-        names.append(f"__found_{number}")
+        names.append(f"{own}{number}")
         out = out.withColumn(names[-1], _scanner(bytes(data), window)("text"))
     if not names:
-        out = out.withColumn("__found_0", _scanner(pickle.dumps([]), window)("text"))
-        names = ["__found_0"]
+        names = [f"{own}0"]
+        out = out.withColumn(names[0], _scanner(pickle.dumps([]), window)("text"))
     if len(names) == 1:
         return out.withColumnRenamed(names[0], "__found")
 
@@ -323,9 +330,10 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, percen
     Documents over the coverage limit go. Of the others the hit words go, from the first to
     the last character of each span, and the text around stays as it is.
     """
-    columns = docs.columns
+    # the caller's columns travel in one, so their names are free
     n_hit = F.aggregate("__found.hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    found = find_test_items(docs, items, window)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.lit(0))
+    found = find_test_items(docs.select(row.alias("row"), "text"), items, window)
     kept = found.where(~contaminated(F.col("__found.n_words"), n_hit, percent))
 
     @F.pandas_udf("string")
@@ -333,7 +341,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW, percen
         return pd.Series([cut_words(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
     text = F.when(n_hit > 0, cut(F.when(n_hit > 0, F.col("text")), F.col("__found.hit_spans"))).otherwise(F.col("text"))
-    return kept.withColumn("text", text).select(*(f"`{c}`" for c in columns))
+    return kept.select(*(text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def cut_words(text: str | None, spans) -> str | None:

@@ -71,7 +71,7 @@ class TextModel:
     def log_likelihoods(self, text: str) -> np.ndarray:
         """Log-likelihoods of a whole text, the best one 0; all are 0 without letters."""
         grams = trigrams(text)
-        if not len(grams):
+        if not len(grams) or not self.languages:
             return np.zeros(len(self.languages))
         n = np.bincount(grams, minlength=BUCKETS)
         at = np.flatnonzero(n)
@@ -141,10 +141,13 @@ def identify(pages: DataFrame, model: TextModel) -> DataFrame:
 
     The whole visible text counts. A null or empty page has no text and no declaration, a null url an
     empty host; what is missing says nothing but how common that is. Equal probabilities go to
-    the language first in order. Null ids and repeated rows stay, other columns are not carried. A page
+    the language first in order; a model without languages leaves language and probability null. Null ids and repeated rows stay, other columns are not carried. A page
     doesn't count for the prior of its own host and domain.
     """
     n = len(model.languages)
+    if not n:
+        own = evidence(pages, model).select("page_id", "host", "declared")
+        return own.withColumns({"lang": F.lit(None).cast("string"), "probability": F.lit(None).cast("double")})
     names = F.array(*map(F.lit, model.languages))
     rows = stored(evidence(pages, model), "evidence")
     total = F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x))

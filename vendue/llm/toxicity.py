@@ -79,13 +79,18 @@ def _with_features(rows: DataFrame, earlier: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=["__words", *(f"__p_{c}" for c in earlier)], outputCol="__features").transform(rows)
 
 
-def _predict(model: LogisticRegressionModel, rows: DataFrame, category: str, earlier: list[str]) -> DataFrame:
+def _predict(model: LogisticRegressionModel | None, rows: DataFrame, category: str, earlier: list[str]) -> DataFrame:
+    if model is None:
+        return rows.withColumn(f"__p_{category}", F.lit(0.0))
     out = model.transform(_with_features(rows, earlier))
     out = out.withColumn(f"__p_{category}", vector_to_array("__probability")[1])
     return out.drop("__features", "__raw", "__probability", "__prediction")
 
 
-def _fit(rows: DataFrame, category: str, earlier: list[str]) -> LogisticRegressionModel:
+def _fit(rows: DataFrame, category: str, earlier: list[str]) -> LogisticRegressionModel | None:
+    """A model of the category, none without rows."""
+    if rows.isEmpty():
+        return None
     kind = LogisticRegression(
         featuresCol="__features", labelCol=f"__is_{category}", probabilityCol="__probability", rawPredictionCol="__raw",
         predictionCol="__prediction", maxIter=40, regParam=0.0001, family="binomial", standardization=True,
@@ -98,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None =
 
     At most ``train_rows`` labelled rows are used, chosen by a hash of the id; labels with a null id or a
     null condition count as not in the category. A category that is never or always met gets its constant
-    probability. Repeated labels of a document all count. Which words count is settled once on all training rows,
+    probability, 0 without any labelled row. Repeated labels of a document all count. Which words count is settled once on all training rows,
     before the folds.
     """
     categories = CATEGORIES if categories is None else categories
