@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["ranks", "events", "search", "recommend", "basics"]
+MODULES = ["ranks", "events", "search", "recommend", "basics", "state"]
 
 
 def _merged(attribute: str) -> dict:
