@@ -4,6 +4,8 @@ import random
 from collections import Counter, defaultdict
 from datetime import UTC, date, datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from vendue.plans.search_best import login_history
 from vendue.streaming import event_time, logins
 from vendue.streaming.micro import read_stream
@@ -146,3 +148,38 @@ def test_known_visitors_of_one_day_equal_login_history(spark, tmp_path):
     # the daily job also joins what had run out between its days
     assert [r for r in got if r[0] != "b"] == [r for r in expected if r[0] != "b"]
     assert [r for r in got if r[0] == "b"] == [("b", 1, date(2024, 1, 30))]
+
+
+def test_streamed_attribution_equals_the_batch(spark, tmp_path):
+    """Three deliveries in mixed order, each started from the checkpoint: hours that are over equal the batch; the state is bounded."""
+    from vendue.operators.attribution import attribute_last_touch
+    from vendue.streaming.attribution import StreamedTouch
+
+    rng = random.Random(6)
+    cart_schema = "visitor_id string, session_id string, site_no string, item_id long, cart_id string, ts timestamp, qty long"
+    visit_schema = "visit_id long, visitor_id string, session_id string, ts timestamp, url string, screen_code string"
+    people = ["a", "b", "c", None]
+    urls = ["/main.ssg?k=1", "/item/itemView.ssg?itemId=2", "/order/popup.ssg?k=3", "/disp/category.ssg?x=1&tarea=4"]
+    at = lambda: START + timedelta(minutes=rng.randrange(60 * 72))
+    carts = [(v := rng.choice(people), v, "1", rng.randrange(9), str(i), at(), 1) for i in range(60)]
+    carts += carts[:3]
+    visits = [(i, v := rng.choice(people), v, at(), rng.choice(urls), "") for i in range(500)]
+    frames = spark.createDataFrame(carts, cart_schema), spark.createDataFrame(visits, visit_schema)
+    touch = StreamedTouch(f"{tmp_path}/out", frames[0].schema, frames[1].schema, delay="2 hours")
+    cuts = [START + timedelta(hours=h) for h in (0, 24, 48, 72)]
+    sizes = []
+    for run in range(3):
+        streams = []
+        for name, frame in zip(("carts", "visits"), frames, strict=True):
+            part = frame.where((F.col("ts") >= F.lit(cuts[run])) & (F.col("ts") < F.lit(cuts[run + 1])))
+            part.repartition(2).write.parquet(f"{tmp_path}/{name}/{run}")
+            streams.append(read_stream(spark, f"{tmp_path}/{name}/*", frame.schema))
+        last = touch.run(*streams)
+        sizes.append(last.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    assert max(sizes) < 250
+    columns = ["visitor_id", "item_id", "cart_id", "ts", "qty", "visit_id", "url", "area"]
+    for after, until in ((cuts[0] - timedelta(seconds=1), cuts[3]), (cuts[1], cuts[2])):
+        own = frames[0].where((F.col("ts") > F.lit(after)) & (F.col("ts") <= F.lit(until)))
+        expected = attribute_last_touch(own, frames[1]).select(*columns).collect()
+        found = touch.closed(spark, after, until).select(*columns).collect()
+        assert Counter(map(tuple, found)) == Counter(map(tuple, expected)) and found

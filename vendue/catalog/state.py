@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendue.catalog.basics import _counters, _Over
+from vendue.catalog.events import TOUCH, _touch
 from vendue.catalog.search import previous_logins
 from vendue.checks.tables import with_views
 from vendue.operators import range_join, sketches
 from vendue.session import ensure_checkpoint_dir
 from vendue.sinks.buckets import BucketStore
 from vendue.streaming import event_time, logins
+from vendue.streaming.attribution import StreamedTouch
 from vendue.streaming.micro import read_stream
 from vendue.views import EVENTS_AS_OF, Shop
 
@@ -87,6 +89,23 @@ def streamed_logins(s: Shop) -> DataFrame:
     return logins.known_logins(s.spark, f"{folder}/out", EVENTS_AS_OF)
 
 
+def streamed_touches(s: Shop) -> DataFrame:
+    """Carts attributed from two deliveries of carts and visits as streams."""
+    folder = scratch(s)
+    frames = [df.withColumn("ts", F.col("ts").cast("timestamp")) for df in (s.cart_lines(), s.page_visits())]
+    touch = StreamedTouch(f"{folder}/out", frames[0].schema, frames[1].schema, delay="1 day")
+    middle = F.lit(datetime(2024, 1, 15)).cast("timestamp")
+    for number, own in enumerate((F.col("ts") < middle, F.col("ts") >= middle)):
+        streams = []
+        for name, frame in zip(("carts", "visits"), frames, strict=True):
+            frame.where(own).repartitionByRange(4, "ts").write.parquet(f"{folder}/{name}/{number}")
+            streams.append(read_stream(s.spark, f"{folder}/{name}/*", frame.schema))
+        touch.run(*streams)
+    first, last = frames[0].agg(F.min("ts"), F.max("ts")).first()
+    found = touch.closed(s.spark, first - timedelta(seconds=1), last).select(*TOUCH)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "visit_ts") if c in found.columns})
+
+
 def sketched_visitors(s: Shop) -> DataFrame:
     """Distinct visitors by type in weeks that start every day: exact, and whether the stored sketches agree."""
     folder = scratch(s)
@@ -127,6 +146,7 @@ QUERIES = {
     "visitor_sessions": lambda s: _with_plain_times(event_time.sessions(session_rows(s), GAP)),
     "visitor_sessions_stream": streamed_sessions,
     "login_history_stream": streamed_logins,
+    "attribute_last_touch_stream": streamed_touches,
     "distinct_visitors_sketched": sketched_visitors,
     "bucket_upsert": lambda s: _scores(s)[0].read("best"),
     "bucket_lookup": looked_up,
@@ -174,6 +194,7 @@ SQL = {
                         WHERE member_id IS NOT NULL AND visit_date <= DATE '2024-01-29')
                     WINDOW w AS (PARTITION BY visitor_id ORDER BY updated, member_id))))
         WHERE island = newest GROUP BY visitor_id HAVING max(updated) >= DATE '2023-07-30'"""),
+    "attribute_last_touch_stream": _touch(6),
     "distinct_visitors_sketched": """
         SELECT from_ts, from_ts + INTERVAL 168 HOUR AS to_ts, event_type, count(DISTINCT user_id) AS exact, true AS within_error
         FROM (SELECT user_id, event_type, date_trunc('day', ts) - to_days(CAST(d AS INTEGER)) AS from_ts
