@@ -29,7 +29,7 @@ MOST_APART = CHUNKS * (ERRORS + 1) - 1
 #: Keys with more classes than this give a star in place of all pairs.
 PAIRED_BUCKET = 8
 #: Classes whose keys a task puts together before they are shuffled.
-HELD_CLASSES = 20_000
+HELD_CLASSES = 4_000
 
 #: Shingles that are confirmed together in one task.
 BLOCK_SHINGLES = 1_000_000
@@ -120,22 +120,19 @@ def _classes(rows: DataFrame) -> DataFrame:
     """One row per distinct set: a node number, the row that stands for it, size and signature."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("rep")
     found = rows.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(first, F.first("sig").alias("sig"))
-    # ids and texts may repeat, so the set itself names the node
-    node = F.xxhash64("k1", "k2", "n_shingles")
+    # ids and texts may repeat, so each set has a number of its own; it is fixed when the classes are stored
     return found.select(
-        "k1", "k2", F.col("n_shingles").alias("n"), node.alias("node"), F.col("rep.doc_id").alias("rep_id"),
+        "k1", "k2", F.col("n_shingles").alias("n"), F.monotonically_increasing_id().alias("node"), F.col("rep.doc_id").alias("rep_id"),
         F.col("rep.text_hash").alias("text_hash"), "sig",
-    ).dropDuplicates(["k1", "k2", "n"])
+    )
 
 
 def held_keys(node: np.ndarray, n: np.ndarray, signatures: np.ndarray) -> pd.DataFrame:
-    """``key, node, n, weight, hub``: keys of some classes, at most ``PAIRED_BUCKET`` rows a key.
+    """``key, node, n, gone, hub``: keys of some classes, at most ``PAIRED_BUCKET`` rows a key.
 
-    Of a key with more classes the smallest stay, the first of them as the hub with a weight of all that went. The others
-    are rows with this hub, each under its own number in place of a key.
+    Of a key with more classes the smallest stay, the first of them with the number of those that went. The others
+    are rows with this one as their hub, each under its own number in place of a key. ``hub`` is -1 for rows with a key.
     """
-    if not len(node):
-        return pd.DataFrame({c: np.empty(0, np.int64) for c in ("key", "node", "n", "weight", "hub")})
     keys = chunk_keys(signatures)
     who = np.repeat(np.arange(len(node)), keys.shape[1])
     keys = keys.ravel()
@@ -144,11 +141,11 @@ def held_keys(node: np.ndarray, n: np.ndarray, signatures: np.ndarray) -> pd.Dat
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[first, len(keys)])
     rank = np.arange(len(keys)) - np.repeat(first, sizes)
-    weight = np.where(rank == 0, np.repeat(np.maximum(sizes - PAIRED_BUCKET, 0) + 1, sizes), 1)
+    gone = np.where(rank == 0, np.repeat(np.maximum(sizes - PAIRED_BUCKET, 0), sizes), 0)
     kept = rank < PAIRED_BUCKET
-    rows = pd.DataFrame({"key": keys[kept], "node": node[who[kept]], "n": n[who[kept]], "weight": weight[kept], "hub": node[who[kept]]})
+    rows = pd.DataFrame({"key": keys[kept], "node": node[who[kept]], "n": n[who[kept]], "gone": gone[kept], "hub": -1})
     far = pd.DataFrame({"node": node[who[~kept]], "hub": node[np.repeat(who[first], sizes)[~kept]]}).drop_duplicates()
-    return pd.concat([rows, far.assign(key=far["node"], n=0, weight=1)[rows.columns]])
+    return pd.concat([rows, far.assign(key=far["node"], n=0, gone=0)[rows.columns]])
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -174,11 +171,12 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         if rows:
             yield flush()
 
-    keys = classes.select("node", F.col("n").cast("long").alias("n"), "sig").mapInPandas(keys_of, "key long, node long, n long, weight long, hub long")
+    keys = classes.select("node", F.col("n").cast("long").alias("n"), "sig").mapInPandas(keys_of, "key long, node long, n int, gone int, hub long")
     own = Window.partitionBy("key")
-    keys = keys.withColumns({"members": F.sum("weight").over(own), "first": F.min(F.struct("n", "node")).over(own)})
-    members = keys.where("members > 1 or hub <> node").withColumn("hub", F.when(F.col("hub") == F.col("node"), F.col("first.node")).otherwise(F.col("hub")))
-    members = members.select("key", "node", F.col("n").cast("int").alias("n"), "members", "hub", (F.col("n") == 0).alias("apart"))
+    keys = keys.withColumns({"members": F.sum(1 + F.col("gone")).over(own), "first": F.min(F.struct("n", "node")).over(own)})
+    apart = F.col("hub") >= 0
+    members = keys.where((F.col("members") > 1) | apart).withColumn("hub", F.when(apart, F.col("hub")).otherwise(F.col("first.node")))
+    members = members.select("key", "node", "n", "members", "hub", (F.col("n") == 0).alias("apart"))
     members = stored(members, "buckets")
     few = members.where((F.col("members") <= PAIRED_BUCKET) & ~F.col("apart")).select("key", "node", "n")
     left, right = few.toDF("key", "a", "na"), few.toDF("key", "b", "nb")
@@ -346,7 +344,8 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> Data
     marked = stored(marked, "marked")
     own_id, own_hash = docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))
     same = own_id.eqNullSafe(marked["__id"]) & (own_hash == marked["__hash"])
-    kept = docs.join(marked, same, "left_anti")
+    # whole texts stay where they are unless the rows that go are many
+    kept = docs.join(F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked, same, "left_anti")
     repeated = marked.where("chosen")
     if repeated.isEmpty():
         return kept
