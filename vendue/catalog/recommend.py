@@ -86,8 +86,8 @@ def cascade(shop: Shop, limit: int = 30, sites: list[str] | None = None):
     return rc.recommend_cascade(
         [
             ("itembase", similar),
-            ("category", rc.list_for_items(items, ranked_lists(shop, "category_id"), "category_id", limit)),
-            ("brand", rc.list_for_items(items, ranked_lists(shop, "brand_id"), "brand_id", limit)),
+            ("category", rc.list_for_items(items, ranked_lists(shop, "category_id"), "category_id", limit, sites, over_sites=True)),
+            ("brand", rc.list_for_items(items, ranked_lists(shop, "brand_id"), "brand_id", limit, sites, over_sites=True)),
         ],
         limit,
         sites,

@@ -76,18 +76,27 @@ def item_similarity(
 def item_pairs(held: DataFrame, slice_items: int = SLICE, items: DataFrame | None = None, **values: str) -> DataFrame:
     """Ordered pairs of a user's items, with a value column of each side under new names.
 
-    ``items`` limits the first item of the pairs. Both sides of a user are cut into slices
-    of about ``slice_items`` items.
+    ``items`` limits the first item of the pairs. Users with more than ``slice_items`` items are cut into slices of
+    about that many on both sides, and every pair of slices is joined on its own; the others are joined as they are.
     """
     named = [F.col(source).alias(name) for name, source in values.items()]
+    first = held if items is None else held.join(items.select("item_id").distinct(), "item_id", "left_semi")
+
+    def joined(ours: DataFrame, theirs: DataFrame, on: list[str], our_slices: list, their_slices: list) -> DataFrame:
+        left = ours.select("user_id", "item_id", *named[:1], *our_slices)
+        right = theirs.select("user_id", F.col("item_id").alias("similar_id"), *named[1:], *their_slices)
+        return left.join(right, on).where(F.col("item_id") != F.col("similar_id"))
+
     sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / slice_items) + 1).alias("_slices"))
-    cut = held.join(sizes, "user_id")
+    large = small_or_plain(sizes.where(F.col("_slices") > 1))
+    if large.isEmpty():
+        return joined(first, held, ["user_id"], [], [])
+    small = [f.join(large, "user_id", "left_anti") for f in (first, held)]
+    cut = [f.join(large, "user_id") for f in (first, held)]
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))
     own = F.pmod(F.xxhash64("item_id"), "_slices")
-    first = cut if items is None else cut.join(items.select("item_id").distinct(), "item_id", "left_semi")
-    left = first.select("user_id", "item_id", *named[:1], own.alias("_a"), every.alias("_b"))
-    right = cut.select("user_id", F.col("item_id").alias("similar_id"), *named[1:], own.alias("_b"), every.alias("_a"))
-    return left.join(right, ["user_id", "_a", "_b"]).where(F.col("item_id") != F.col("similar_id"))
+    sliced = joined(*cut, ["user_id", "_a", "_b"], [own.alias("_a"), every.alias("_b")], [own.alias("_b"), every.alias("_a")])
+    return joined(*small, ["user_id"], [], []).unionByName(sliced.drop("_a", "_b"))
 
 
 def _score(counted: DataFrame, item_users: DataFrame, score, users: int) -> DataFrame:

@@ -305,13 +305,21 @@ def clip_lists(clip: DataFrame, per_kind: int = PAGE_ROWS) -> DataFrame:
 # Cascade ----------------------------------------------------------------------
 
 
-def list_for_items(items: DataFrame, ranked: DataFrame, key: str, limit: int) -> DataFrame:
+def list_for_items(
+    items: DataFrame, ranked: DataFrame, key: str, limit: int, sites: Sequence[str] | None = None, over_sites: bool = False
+) -> DataFrame:
     """Candidates of each item's category or brand on every site, by rank.
 
-    ``ranked`` has the key, site_no, candidate and rank; the candidate is sold on that site.
+    ``ranked`` has the key, site_no, candidate and rank; the candidate is sold on that site. With ``over_sites`` the list
+    of a key is cut to ``limit`` over the wanted sites together, before its items get it: what a cascade takes of it.
     """
     rows = ranked.select(key, "site_no", "candidate", "rank")
+    if sites is not None:
+        rows = rows.where(F.col("site_no").isin(list(sites)))
     short = top_n_per_group(rows, [key, "site_no"], [("rank", "asc"), ("candidate", "asc")], limit, "_at")
+    if over_sites:
+        first = [("_at", "asc"), ("candidate", "asc"), ("site_no", "asc")]
+        short = top_n_per_group(short.select(key, "site_no", "candidate", "_at"), [key], first, limit, "_first")
     return items.select("item_id", key).join(small_or_plain(short), key).select(
         "item_id", "site_no", "candidate", F.col("_at").alias("rank")
     )
