@@ -23,7 +23,7 @@ from vendue.llm.hamming_join import _MIX, _mixed
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
 
 #: Bytes of text that are split into words at once, and words that are summarised at once.
-SLICE_BYTES, SUMMARY_WORDS = 8 << 20, 4_000_000
+SLICE_BYTES, SUMMARY_WORDS = 2 << 20, 1_000_000
 #: Counters of a summary at least.
 LEAST_CAPACITY = 1 << 16
 #: Text of a hash partition.
@@ -300,10 +300,10 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
     between blanks and tabs inside pieces between ``.,;:!?`` and line ends, A-Z lower-cased. Null texts are empty; without a
     language it is ``und``; repeated rows count each; an empty table gives no rows. Only ``lang`` and ``text`` are read.
 
-    Within a slice of 8 MB n-grams are told apart by 64-bit hashes, across slices by their text.
+    Within a slice of 2 MB n-grams are told apart by 64-bit hashes, across slices by their text.
 
     Scale: two scans of the texts. A task holds a slice of words or a summary; what is sent is one entry for each
-    distinct n-gram of four million words, two to five bytes, and then counts of surviving phrases. The bitmap is 16 MB at most;
+    distinct n-gram of a million words, two to five bytes, and then counts of surviving phrases. The bitmap is 16 MB at most;
     with more survivors it lets others pass, which are counted exactly and fall below the threshold.
     """
     counts = stored(frequent_phrases(docs, threshold, longest), "phrases")
