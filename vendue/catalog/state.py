@@ -1,4 +1,4 @@
-"""Streams with state, sketches, bucketed tables and interval joins over the test tables, with the same results in SQL."""
+"""Streams with state, sketches, bucketed tables, interval joins and VARIANT logs over the test tables, with the same results in SQL."""
 
 from __future__ import annotations
 
@@ -12,7 +12,9 @@ from vendue.catalog.basics import _counters, _Over
 from vendue.catalog.events import TOUCH, _touch
 from vendue.catalog.search import previous_logins
 from vendue.checks.tables import with_views
+from vendue.functions import in_sql, variants
 from vendue.operators import range_join, sketches
+from vendue.operators.nearest import nearest_users
 from vendue.session import ensure_checkpoint_dir
 from vendue.sinks.buckets import BucketStore
 from vendue.streaming import event_time, logins
@@ -140,6 +142,35 @@ def near_pairs(s: Shop, **kw) -> DataFrame:
     return range_join.interval_join(seen, carts, ["item_id"], "view_ts", "cart_ts", timedelta(minutes=-10), timedelta(hours=2), **kw)
 
 
+def json_logs(s: Shop) -> DataFrame:
+    """Events with their JSON, some of it cut off, blank, no object, without the field or with another type; more fields on odd days."""
+    kind, text = F.col("event_id") % 12, F.col("props")
+    more = F.concat(F.regexp_replace(text, "}$", ""), F.lit(', "device": {"os": "x"}}'))
+    text = F.when(F.dayofmonth("ts") % 2 == 1, more).otherwise(text)
+    broken = (
+        F.when(kind == 0, F.substring(text, 1, 5)).when(kind == 1, "  ").when(kind == 2, "[1, 2]").when(kind == 3, '{"x": 1}')
+        .when(kind == 4, '{"k": "none"}').when(kind == 5, '{"k": null}').when(kind != 6, text)
+    )
+    return s.table("events").select("event_id", F.to_date("ts").alias("day"), broken.alias("log"))
+
+
+def accepted_logs(s: Shop) -> DataFrame:
+    found = variants.split_records(json_logs(s), "log", {"k": "bigint"}, {"device.os": "string"})[0]
+    return found.select("event_id", "day", "k", "os")
+
+
+def pages_in_sql(s: Shop) -> DataFrame:
+    """The three families of page predicates from SQL alone."""
+    return in_sql.query(
+        s.spark,
+        """
+        SELECT visit_id, is_noise(url, screen_code) AS noise, is_detail(url, screen_code) AS detail,
+               is_item_view(url, screen_code) AS item_view, search_url(url) AS search
+        FROM IDENTIFIER(:visits) WHERE ts >= :since AND NOT coalesce(search_screen(screen_code), false)""",
+        {"page_visits_in_sql": s.page_visits()}, visits="page_visits_in_sql", since=datetime(2024, 1, 11),
+    )
+
+
 QUERIES = {
     "ad_counters_event_time": counters,
     "sliding_visits_event_time": visits,
@@ -152,6 +183,11 @@ QUERIES = {
     "bucket_lookup": looked_up,
     "interval_join": near_pairs,
     "interval_join_split": lambda s: near_pairs(s, heavy=1),
+    "json_accepted": accepted_logs,
+    "json_rejected": lambda s: variants.split_records(json_logs(s), "log", {"k": "bigint"})[1].select("event_id", "log", "reason"),
+    "json_schema_by_day": lambda s: variants.schema_by(json_logs(s).where(F.col("event_id") % 12 > 6), "log", "day"),
+    "pages_in_sql": pages_in_sql,
+    "nearest_users": lambda s: nearest_users(s.ratings()).withColumn("value", F.round("value", 6)),
 }
 
 _SESSIONS = """
@@ -171,7 +207,43 @@ _PAIRS = with_views("""
      AND c.ts BETWEEN v.ts - INTERVAL 10 MINUTE AND v.ts + INTERVAL 2 HOUR
     WHERE v.event_id % 2 = 0""")
 
+_LOGS = """
+    SELECT event_id, CAST(ts AS DATE) AS day, event_id % 12 AS kind, CAST(json_extract(props, '$.k') AS BIGINT) AS k, day(ts) % 2 = 1 AS more,
+           CASE event_id % 12 WHEN 0 THEN substr(props, 1, 5) WHEN 1 THEN '  ' WHEN 2 THEN '[1, 2]' WHEN 3 THEN '{"x": 1}'
+                WHEN 4 THEN '{"k": "none"}' WHEN 5 THEN '{"k": null}' END AS log
+    FROM events"""
+
+
+def _matches(name: str) -> str:
+    column, pattern = in_sql.PATTERNS[name]
+    return f"regexp_matches({column}, '{pattern}')"
+
+
 SQL = {
+    "nearest_users": with_views("""
+        SELECT user_id, other_id, round(value, 6) AS value, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, other_id) AS rank FROM (
+                SELECT a.user_id, b.user_id AS other_id, count(*) / (any_value(s.n) + any_value(t.n) - count(*)) AS value
+                FROM t_held a JOIN t_held b ON a.item_id = b.item_id AND a.user_id <> b.user_id
+                JOIN t_size s ON s.user_id = a.user_id JOIN t_size t ON t.user_id = b.user_id
+                GROUP BY a.user_id, b.user_id)) WHERE rank <= 2""",
+        {"t_held": "SELECT DISTINCT user_id, k AS item_id FROM v_event", "t_size": "SELECT user_id, count(*) AS n FROM t_held GROUP BY user_id"}),
+    "json_accepted": f"SELECT event_id, day, k, CASE WHEN more THEN 'x' END AS os FROM ({_LOGS}) WHERE kind > 6",
+    "json_rejected": f"""
+        SELECT event_id, log, CASE kind WHEN 0 THEN 'malformed' WHEN 1 THEN 'blank' WHEN 2 THEN 'no object' WHEN 3 THEN 'no k'
+               WHEN 4 THEN 'type of k' WHEN 5 THEN 'no k' ELSE 'missing' END AS reason
+        FROM ({_LOGS}) WHERE kind <= 6""",
+    "json_schema_by_day": f"""
+        SELECT day, CASE WHEN any_value(more) THEN 'OBJECT<device: OBJECT<os: STRING>, k: BIGINT>' ELSE 'OBJECT<k: BIGINT>' END AS schema,
+               count(*) AS records
+        FROM ({_LOGS}) WHERE kind > 6 GROUP BY day""",
+    "pages_in_sql": with_views(f"""
+        SELECT visit_id, {_matches("noise_url")} OR {_matches("noise_screen")} AS noise, {_matches("detail_url")} OR {_matches("detail_screen")} AS detail,
+               {_matches("item_view_url")} OR {_matches("item_view_screen")} AS item_view, {_matches("search_url")} AS search
+        FROM (SELECT event_id AS visit_id, ts, '' AS screen_code, CASE event_type WHEN 'error' THEN '/order/popup.ssg?k='
+                     WHEN 'view' THEN '/item/itemView.ssg?itemId=' WHEN 'signup' THEN '/disp/category.ssg?x=1&tarea=' ELSE '/main.ssg?k=' END || k AS url
+              FROM v_event WHERE event_type <> 'purchase')
+        WHERE ts >= TIMESTAMP '2024-01-11 00:00:00'"""),
     "ad_counters_event_time": with_views(_counters("")),
     "sliding_visits_event_time": """
         SELECT from_ts, from_ts + INTERVAL 6 HOUR AS to_ts, user_id AS visitor_id, count(*) AS visits
