@@ -53,3 +53,32 @@ def test_predicates_in_sql_equal_columns(spark):
     found = in_sql.query(spark, "SELECT id, is_noise(url, screen_code) AS n, is_detail(url, screen_code) AS d FROM IDENTIFIER(:t) WHERE id >= :least", {"seen_pages": rows}, t="seen_pages", least=1)
     expected = rows.where("id >= 1").select("id", pages.is_noise(F.col("url"), F.col("screen_code")).alias("n"), pages.is_detail(F.col("url"), F.col("screen_code")).alias("d"))
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+@pytest.mark.parametrize(("block", "n"), [(4096, 3), (16, 3), (5, 10), (1, 2)])
+def test_top_by_inner_product(spark, block, n):
+    from vendue.operators.inner_product import top_by_inner_product
+
+    rng = random.Random(block)
+    users = [(u, [float(rng.randrange(-4, 9)) for _ in range(6)]) for u in range(50)] + [(900, [0.0] * 6), (901, None)]
+    items = [(i, [float(rng.randrange(-2, 6)) * (1 + 9 * (i % 10 == 0)) for _ in range(6)]) for i in range(120)] + [(500, None)]
+    schema = "{} long, factors array<double>"
+    best, asked = top_by_inner_product(spark.createDataFrame(users, schema.format("user_id")), spark.createDataFrame(items, schema.format("item_id")), n, block)
+    expected = []
+    for u, a in users:
+        if a is not None:
+            scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in items if b is not None)
+            expected += [(u, i, -s + 0.0, r) for r, (s, i) in enumerate(scores[:n], 1)]
+    assert sorted((r["user_id"], r["item_id"], r["score"] + 0.0, r["rank"]) for r in best.collect()) == sorted(expected)
+    scored = sum(r["users"] for r in asked.collect()) * block
+    assert block > 20 or scored < 0.9 * 51 * 120  # blocks were skipped
+
+
+def test_top_by_inner_product_of_nothing(spark):
+    from vendue.operators.inner_product import top_by_inner_product
+
+    users = spark.createDataFrame([(1, [1.0])], "user_id long, factors array<double>")
+    items = spark.createDataFrame([(1, [1.0])], "item_id long, factors array<double>")
+    assert top_by_inner_product(users.where("false"), items)[0].count() == 0
+    assert top_by_inner_product(users, items.where("false"))[0].count() == 0
+    assert [tuple(r) for r in top_by_inner_product(users, items)[0].collect()] == [(1, 1, 1.0, 1)]

@@ -14,6 +14,7 @@ from vendue.catalog.search import previous_logins
 from vendue.checks.tables import with_views
 from vendue.functions import in_sql, variants
 from vendue.operators import range_join, sketches
+from vendue.operators.inner_product import top_by_inner_product
 from vendue.operators.nearest import nearest_users
 from vendue.session import ensure_checkpoint_dir
 from vendue.sinks.buckets import BucketStore
@@ -171,6 +172,17 @@ def pages_in_sql(s: Shop) -> DataFrame:
     )
 
 
+def best_by_factors(s: Shop) -> DataFrame:
+    """Ten best items of each customer for whole-numbered factors made from ids."""
+    def factors(key: str, times: int):
+        return F.array(*[((F.col(key) * (times + 7 * j) + j * j) % (11 + 2 * j) - F.lit(3)).cast("double") for j in range(6)])
+
+    users = s.table("customer").select(F.col("c_custkey").alias("user_id"), factors("c_custkey", 31).alias("factors"))
+    own = factors("p_partkey", 17)
+    items = s.table("part").select(F.col("p_partkey").alias("item_id"), F.transform(own, lambda x: x * (1 + F.col("p_partkey") % 5)).alias("factors"))
+    return top_by_inner_product(users, items, 10, 256)[0]
+
+
 QUERIES = {
     "ad_counters_event_time": counters,
     "sliding_visits_event_time": visits,
@@ -187,6 +199,7 @@ QUERIES = {
     "json_rejected": lambda s: variants.split_records(json_logs(s), "log", {"k": "bigint"})[1].select("event_id", "log", "reason"),
     "json_schema_by_day": lambda s: variants.schema_by(json_logs(s).where(F.col("event_id") % 12 > 6), "log", "day"),
     "pages_in_sql": pages_in_sql,
+    "top_by_inner_product": best_by_factors,
     "nearest_users": lambda s: nearest_users(s.ratings()).withColumn("value", F.round("value", 6)),
 }
 
@@ -219,7 +232,17 @@ def _matches(name: str) -> str:
     return f"regexp_matches({column}, '{pattern}')"
 
 
+def _factor(key: str, times: int, j: int) -> str:
+    return f"(({key} * {times + 7 * j} + {j * j}) % {11 + 2 * j} - 3)"
+
+
+_DOT = " + ".join(f"{_factor('c_custkey', 31, j)} * {_factor('p_partkey', 17, j)}" for j in range(6))
+
 SQL = {
+    "top_by_inner_product": f"""
+        SELECT c_custkey AS user_id, p_partkey AS item_id, CAST(({_DOT}) * (1 + p_partkey % 5) AS DOUBLE) AS score,
+               row_number() OVER (PARTITION BY c_custkey ORDER BY ({_DOT}) * (1 + p_partkey % 5) DESC, p_partkey) AS rank
+        FROM customer, part QUALIFY rank <= 10""",
     "nearest_users": with_views("""
         SELECT user_id, other_id, round(value, 6) AS value, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, other_id) AS rank FROM (

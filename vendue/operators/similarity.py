@@ -88,9 +88,10 @@ def item_pairs(held: DataFrame, slice_items: int = SLICE, items: DataFrame | Non
         return left.join(right, on).where(F.col("item_id") != F.col("similar_id"))
 
     sizes = held.groupBy("user_id").agg((F.floor(F.count(F.lit(1)) / slice_items) + 1).alias("_slices"))
-    large = small_or_plain(sizes.where(F.col("_slices") > 1))
+    large = sizes.where(F.col("_slices") > 1)
     if large.isEmpty():
         return joined(first, held, ["user_id"], [], [])
+    large = small_or_plain(large)
     small = [f.join(large, "user_id", "left_anti") for f in (first, held)]
     cut = [f.join(large, "user_id") for f in (first, held)]
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))
