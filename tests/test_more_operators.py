@@ -26,6 +26,38 @@ def test_nearest_users(spark):
         nearest_users(pairs, degrees=(0.5,))
 
 
+@pytest.mark.parametrize("paired", [0.0, 1e9])
+def test_nearest_users_by_blocks_and_by_items(spark, monkeypatch, paired):
+    """Popular and rare items, equal sets, ids and items as strings; blocks of few sets."""
+    from vendue.operators import nearest
+
+    monkeypatch.setattr(nearest, "SLICE_SETS", 20)
+    monkeypatch.setattr(nearest, "BLOCK_SETS", 30)
+    rng = random.Random(5)
+    sets = {f"u{u}": {f"i{rng.choice((rng.randrange(6), rng.randrange(400)))}" for _ in range(rng.randrange(1, 12))} for u in range(90)}
+    sets |= {f"v{u}": sets["u1"] for u in range(4)} | {"w": sets["u2"], "x": {"alone"}}
+    rows = [(u, i) for u, own in sets.items() for i in own]
+    expected = []
+    for u, own in sets.items():
+        near = sorted((-len(own & o) / len(own | o), v) for v, o in sets.items() if v != u and own & o)
+        expected += [(u, v, -s, r) for r, (s, v) in enumerate(near[:2], 1)]
+    found = nearest_users(spark.createDataFrame(rows, "user_id string, item_id string"), paired=paired)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+
+
+def test_popular_items_make_no_pairs(spark, monkeypatch):
+    """With few items that all hold about half of, pairs by items are more than the sets have."""
+    from vendue.operators import nearest
+
+    def none(*args):
+        raise AssertionError("pairs by items")
+
+    monkeypatch.setattr(nearest, "candidates", none)
+    rng = random.Random(6)
+    rows = [(u, i) for u in range(80) for i in rng.sample(range(20), 10)]
+    assert nearest_users(spark.createDataFrame(rows, "user_id long, item_id long")).count() == 160
+
+
 def test_few_pairs_are_verified(spark):
     """An item that everybody has makes no pairs at a high degree."""
     rows = [(u, 0, 5, 5) for u in range(300)] + [(u, 1000 * (u // 2) + k, k, 5) for u in range(300) for k in range(1, 5)]
