@@ -106,6 +106,27 @@ def test_top_by_inner_product(spark, block, n):
     assert block > 20 or scored < 0.9 * 51 * 120  # blocks were skipped
 
 
+@pytest.mark.parametrize("stretch", [8, 64])
+def test_top_by_inner_product_over_stretches(spark, monkeypatch, stretch):
+    """Blocks of vectors in the same direction are skipped though they are long; equal scores across stretches."""
+    from vendue.operators import inner_product
+
+    monkeypatch.setattr(inner_product, "STRETCH_ITEMS", stretch)
+    monkeypatch.setattr(inner_product, "SLICE_USERS", 20)
+    rng = random.Random(stretch)
+    ways = [(9, 0, 0), (0, 9, 0), (0, 0, 9), (-9, 0, 0)]
+    items = [(i, [float(x + rng.randrange(-1, 2)) for x in ways[i % 4]]) for i in range(160)] + [(200, [0.0] * 3)]
+    users = [(u, [float(x + rng.randrange(2)) for x in ways[u % 3]]) for u in range(45)] + [(50, [0.0] * 3), (51, [-1.0, 0.0, 0.0])]
+    schema = "{} long, factors array<double>"
+    best, asked = inner_product.top_by_inner_product(spark.createDataFrame(users, schema.format("user_id")), spark.createDataFrame(items, schema.format("item_id")), 3, 8)
+    expected = []
+    for u, a in users:
+        scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in items)
+        expected += [(u, i, -s + 0.0, r) for r, (s, i) in enumerate(scores[:3], 1)]
+    assert sorted((r["user_id"], r["item_id"], r["score"] + 0.0, r["rank"]) for r in best.collect()) == sorted(expected)
+    assert stretch < 64 or sum(r["users"] for r in asked.collect()) * 8 < 0.5 * len(users) * len(items)
+
+
 def test_top_by_inner_product_of_nothing(spark):
     from vendue.operators.inner_product import top_by_inner_product
 
