@@ -135,3 +135,24 @@ def test_top_by_inner_product_of_nothing(spark):
     assert top_by_inner_product(users.where("false"), items)[0].count() == 0
     assert top_by_inner_product(users, items.where("false"))[0].count() == 0
     assert [tuple(r) for r in top_by_inner_product(users, items)[0].collect()] == [(1, 1, 1.0, 1)]
+
+
+def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    """A large table is shuffled into more partitions than the session names, a small one is not."""
+    from vendue import session, views
+    from vendue.operators.relational import count_distinct
+
+    folder = str(tmp_path)
+    spark.range(40_000).selectExpr("id % 400 AS l_partkey", "uuid() AS l_orderkey").repartition(3).write.parquet(f"{folder}/lineitem.parquet")
+    kept = [(k, spark.conf.get(k, None)) for k in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")]
+    try:
+        monkeypatch.setattr(session, "PARTITION_BYTES", 50_000)
+        lines = views.Shop(spark, folder).table("lineitem")
+        assert count_distinct(lines, ["l_partkey"], "l_orderkey").groupBy("cnt").count().collect() == [(100, 400)]
+        assert int(spark.conf.get(kept[0][0])) > 20
+        monkeypatch.undo()
+        views.Shop(spark, folder).table("lineitem")
+        assert spark.conf.get(kept[0][0]) == "4"
+    finally:
+        for key, value in kept:
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

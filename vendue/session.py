@@ -5,10 +5,15 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest group a single task may sort. Larger groups take the split path of
 # the operator concerned.
-GROUP_ROWS = 1_000_000
+GROUP_ROWS = 250_000
+
+# Bytes of input files for each shuffle partition, and of shuffled rows for each task.
+PARTITION_BYTES = 2 << 20
+TASK_BYTES = 16 << 20
 
 # Largest frame that may be broadcast after its rows have been counted.
 BROADCAST_ROWS = 200_000
@@ -31,6 +36,22 @@ def get_session(app: str = "vendue", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files at a path; only their names are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def scale_partitions(spark: SparkSession, size: int) -> None:
+    """Shuffle partitions in proportion to ``size`` bytes of input, so that what a task holds does not grow with it.
+
+    Adaptive execution joins small ones again, up to ``TASK_BYTES``.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, -(-size // PARTITION_BYTES))))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{TASK_BYTES}b")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints: the one the session names, else a local one in local mode.
 

@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vendue.session import input_bytes, scale_partitions
+
 ORDERS_AS_OF = date(2001, 8, 2)
 EVENTS_AS_OF = date(2024, 1, 31)
 
@@ -22,10 +24,14 @@ class Shop:
         self.spark = spark
         self.root = root.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._bytes = 0
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            path = f"{self.root}/{name}.parquet"
+            self._tables[name] = self.spark.read.parquet(path)
+            self._bytes += input_bytes(self.spark, path)
+            scale_partitions(self.spark, self._bytes)
         return self._tables[name]
 
     # masters -----------------------------------------------------------
@@ -101,8 +107,16 @@ class Shop:
 
     # orders ------------------------------------------------------------
 
-    def order_lines(self) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    def order_heads(self) -> DataFrame:
+        """What order lines take from their order."""
+        return self.table("orders").select(
+            "o_orderkey", F.col("o_custkey").alias("member_id"), "o_orderdate", "o_orderpriority"
+        )
+
+    def order_lines(self, heads: DataFrame | None = None) -> DataFrame:
+        """Order lines; further columns of ``heads``, which are ``order_heads`` by default, come last."""
+        orders = self.order_heads() if heads is None else heads
+        more = [c for c in orders.columns if c not in ("o_orderkey", "member_id", "o_orderdate", "o_orderpriority")]
         gross = F.floor(F.col("l_extendedprice"))
         lines = self.table("lineitem").select(
             "l_orderkey",
@@ -125,7 +139,7 @@ class Shop:
                 "line_no",
                 "item_id",
                 "site_no",
-                F.col("o_custkey").alias("member_id"),
+                "member_id",
                 F.to_date("o_orderdate").alias("order_date"),
                 "qty",
                 "amount",
@@ -135,6 +149,7 @@ class Shop:
                 "target_code",
                 "line_kind",
                 F.col("o_orderpriority").alias("priority"),
+                *more,
             )
         )
 
