@@ -156,3 +156,25 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
     finally:
         for key, value in kept:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_prediction_for_wanted_keys_only(spark):
+    from vendue.plans.recommend import predict_item_based
+
+    sim = spark.createDataFrame([(i, j, 1.0 / (i + j)) for i in range(1, 6) for j in range(1, 6) if i != j], "item_id long, similar_id long, value double")
+    rated = spark.createDataFrame([(1, 1, 4.0), (1, 2, 2.0), (2, 3, 5.0)], "user_id long, item_id long, rating double")
+    wanted = spark.createDataFrame([(1, 3), (1, 3), (1, 2), (2, 5), (9, 1)], "user_id long, item_id long")
+    every = {(r["user_id"], r["item_id"]): round(r["prediction"], 9) for r in predict_item_based(sim, rated).collect()}
+    found = [(r["user_id"], r["item_id"], round(r["prediction"], 9)) for r in predict_item_based(sim, rated, wanted).collect()]
+    assert sorted(found) == [(1, 3, every[1, 3]), (2, 5, every[2, 5])]
+
+
+def test_both_scores_start_from_one_ranked_frame(spark):
+    from vendue.plans import best_rank as br
+
+    rows = [(i, "1", i % 4, i % 3, 10 * (i % 5)) for i in range(1, 20)]
+    frame = spark.createDataFrame(rows, "item_id long, site_no string, order_count long, click_count long, amount long")
+    ranked = br.br_feature_ranks(frame)[0]
+    for score in (br.br_rank_score, br.br_norm_score):
+        expected = score(frame)
+        assert sorted(score(ranked).select(expected.columns).collect()) == sorted(expected.collect())

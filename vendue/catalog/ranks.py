@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import DataFrame
 
 from vendue.checks.tables import with_views
 from vendue.plans import best_rank as br
 from vendue.plans import segments as sg
+from vendue.session import pin
 from vendue.views import ORDERS_AS_OF, Shop
 
 # Sites of the test tables are 0..4: 4 counts as 3, 9 is the all-site, 1 and 2 have copies.
@@ -32,19 +34,27 @@ def frame(shop: Shop):
     return br.br_frame(items(shop), br.br_counts(shop.order_lines(), clicks), shop.event_items())
 
 
-def final(shop: Shop, normal: bool):
-    scored = br.br_norm_score(frame(shop)) if normal else br.br_rank_score(frame(shop))
+def final(shop: Shop, normal: bool, ranked: DataFrame | None = None):
+    ranked = frame(shop) if ranked is None else ranked
+    scored = br.br_norm_score(ranked) if normal else br.br_rank_score(ranked)
     pushed = br.event_penalty(scored, all_site=ALL)
     shown = br.copy_sites(pushed, COPIES if normal else [])
     return br.final_rank(shown, ORDERS_AS_OF, FADE)
 
 
-def products(shop: Shop, normal: bool, k: int = br.PRODUCT_ROWS):
-    return br.product_list(final(shop, normal), shop.categories(), ORDERS_AS_OF, k, ALL, BOOST)
+def products(shop: Shop, normal: bool, k: int = br.PRODUCT_ROWS, ranked: DataFrame | None = None):
+    return br.product_list(final(shop, normal, ranked), shop.categories(), ORDERS_AS_OF, k, ALL, BOOST)
+
+
+def both_products(shop: Shop):
+    """The lists of both runs, over one frame whose features are ranked once."""
+    ranked = pin(br.br_feature_ranks(frame(shop))[0])
+    return br.final_products(products(shop, False, ranked=ranked), products(shop, True, ranked=ranked), ALL)
 
 
 def demo_counts(shop: Shop, gated: bool = True):
-    orders = sg.orders_demo(shop.order_lines(), shop.members())
+    # members by order, not by line: no line moves for them
+    orders = shop.order_lines(sg.orders_demo(shop.order_heads(), shop.members()))
     clicks = br.br_clicks(shop.clicks(), shop.prices() if gated else None, DEMO, ALIAS, match_site=True)
     return br.br_counts(orders, clicks, DEMO)
 
@@ -71,7 +81,7 @@ QUERIES = {
     "best_rank_norm": lambda s: final(s, True).select(*RANK_COLUMNS),
     "product_list": lambda s: products(s, True),
     "product_list_top": lambda s: products(s, True, 500),
-    "final_products": lambda s: br.final_products(products(s, False), products(s, True), ALL),
+    "final_products": both_products,
     "unique_members": lambda s: sg.unique_members(s.members()),
     "orders_demo": lambda s: sg.orders_demo(s.order_lines(), s.members()).select(
         "order_no", "line_no", "member_id", "gender", "age_band"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vendue.checks.tables import with_views
 from vendue.operators.similarity import item_similarity
 from vendue.plans import recommend as rc
+from vendue.session import pin
 from vendue.views import ORDERS_AS_OF, Shop
 
 
@@ -117,9 +118,9 @@ def item_based_error(shop: Shop):
     def fit(known, held):
         asked = known.join(held.select("user_id").distinct(), "user_id", "left_semi")
         sim = item_similarity(known.select("user_id", "item_id"), None, items=asked.select("item_id"))
-        return rc.predict_item_based(sim, asked)
+        return rc.predict_item_based(sim, asked, held)
 
-    return rc.evaluate_mae(shop.ratings(), fit)
+    return rc.evaluate_mae(pin(shop.ratings()), fit)
 
 
 def factorised_error(shop: Shop):

@@ -151,21 +151,29 @@ def _total_rank(scored: DataFrame, rows: int, **kw) -> DataFrame:
     )
 
 
-def br_rank_score(frame: DataFrame, **kw) -> DataFrame:
-    """Reciprocal ranks of orders, amount and clicks, weighted; then the total rank."""
+def br_feature_ranks(frame: DataFrame, **kw) -> tuple[DataFrame, int]:
+    """The frame with ranks of orders, amount and clicks, for both scores to start from, and its rows."""
+    if "order_rank" in frame.columns:
+        return frame, frame.count()
     frame = pin(frame)
     rows = frame.count()
-    scored = _feature_ranks(frame, rows, **kw).withColumn("raw_score", reciprocal_rank_score(RANK_WEIGHTS))
+    return _feature_ranks(frame, rows, **kw), rows
+
+
+def br_rank_score(frame: DataFrame, **kw) -> DataFrame:
+    """Reciprocal ranks of orders, amount and clicks, weighted; then the total rank."""
+    ranked, rows = br_feature_ranks(frame, **kw)
+    scored = ranked.withColumn("raw_score", reciprocal_rank_score(RANK_WEIGHTS))
     return _total_rank(scored, rows, **kw)
 
 
 def br_norm_score(frame: DataFrame, **kw) -> DataFrame:
     """Logs of orders, amount and clicks scaled to 0..100, weighted; then the total rank."""
-    frame = pin(log_scale(frame, FEATURES))
-    rows = frame.count()
+    ranked, rows = br_feature_ranks(frame, **kw)
+    ranked = log_scale(ranked, FEATURES)
     logs = [f"{c}_log" for c in FEATURES]
-    scaled = min_max_scale(frame, logs, feature_bounds(frame, logs))
-    scored = _feature_ranks(scaled.withColumn("raw_score", weighted_sum(NORM_WEIGHTS)), rows, **kw)
+    scaled = min_max_scale(ranked, logs, feature_bounds(ranked, logs))
+    scored = scaled.withColumn("raw_score", weighted_sum(NORM_WEIGHTS))
     return _total_rank(scored, rows, **kw).drop(*logs, *[f"{c}_norm" for c in logs])
 
 

@@ -388,12 +388,20 @@ def item_master(items: DataFrame) -> DataFrame:
 # Prediction -----------------------------------------------------------------------
 
 
-def predict_item_based(sim: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Similarity-weighted mean of a user's ratings, for items the user has not rated."""
+def predict_item_based(sim: DataFrame, ratings: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Similarity-weighted mean of a user's ratings, for items the user has not rated.
+
+    ``wanted`` names the users and items (``user_id, item_id``) to predict for, all by default.
+    """
     rated = ratings.select("user_id", "item_id", "rating")
+    near = sim.select("item_id", "similar_id", "value")
+    if wanted is None:
+        rows = rated.join(near, "item_id")
+    else:
+        keys = wanted.select("user_id", F.col("item_id").alias("similar_id")).distinct()
+        rows = keys.join(near, "similar_id").join(rated, ["user_id", "item_id"])
     reached = (
-        rated.join(sim.select("item_id", "similar_id", "value"), "item_id")
-        .groupBy("user_id", F.col("similar_id").alias("_item"))
+        rows.groupBy("user_id", F.col("similar_id").alias("_item"))
         .agg(
             F.try_divide(F.sum(F.col("value") * F.col("rating")), F.sum("value")).alias("prediction")
         )
