@@ -183,3 +183,28 @@ def test_streamed_attribution_equals_the_batch(spark, tmp_path):
         expected = attribute_last_touch(own, frames[1]).select(*columns).collect()
         found = touch.closed(spark, after, until).select(*columns).collect()
         assert Counter(map(tuple, found)) == Counter(map(tuple, expected)) and found
+
+
+def test_files_of_found_visits_are_few(spark, tmp_path):
+    """Visits of many hours are written as about as many files as there are hours and tasks, not as their product."""
+    from glob import glob
+
+    from vendue.streaming.attribution import StreamedTouch
+
+    hours, each = 24, 20
+    at = lambda h, m: START + timedelta(hours=h, minutes=m)
+    carts = [(f"v{m}", "s", "1", 1, f"{h}-{m}", at(h, m + 1), 1) for h in range(hours) for m in range(each)]
+    visits = [(h * each + m, f"v{m}", "s", at(h, m), "/main.ssg?k=1", "") for h in range(hours) for m in range(each)]
+    cart_schema = "visitor_id string, session_id string, site_no string, item_id long, cart_id string, ts timestamp, qty long"
+    visit_schema = "visit_id long, visitor_id string, session_id string, ts timestamp, url string, screen_code string"
+    frames = spark.createDataFrame(carts, cart_schema), spark.createDataFrame(visits, visit_schema)
+    touch = StreamedTouch(f"{tmp_path}/out", frames[0].schema, frames[1].schema, "30 minutes")
+    streams = []
+    for name, frame in zip(("carts", "visits"), frames, strict=True):
+        frame.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        streams.append(read_stream(spark, f"{tmp_path}/{name}", frame.schema))
+    touch.run(*streams)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(glob(f"{tmp_path}/out/visits/*/*/*.parquet")) <= hours + tasks
+    found = touch.closed(spark, START - timedelta(hours=1), START + timedelta(hours=hours))
+    assert sorted(r["visit_id"] for r in found.collect()) == list(range(hours * each))

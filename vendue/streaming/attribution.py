@@ -45,8 +45,9 @@ class StreamedTouch:
         found = ours.join(theirs, same & within).select("hour", "visit")
 
         def keep(batch: DataFrame, number: int) -> None:
-            # a visit once for the carts of an hour
-            batch.distinct().write.mode("overwrite").partitionBy("hour").parquet(f"{self.folder}/visits/batch={number}")
+            # a visit once for the carts of an hour; ranges of hours, so that there are about as many files as hours and tasks together
+            once = batch.distinct().repartitionByRange("hour", F.xxhash64("visit"))
+            once.write.mode("overwrite").partitionBy("hour").parquet(f"{self.folder}/visits/batch={number}")
 
         query = found.writeStream.foreachBatch(keep).option("checkpointLocation", f"{self.folder}/state-join").trigger(availableNow=True).start()
         query.awaitTermination()
