@@ -120,6 +120,24 @@ def test_split_path_equals_loop(spark, chunk_rows):
     assert got == brute_force(carts, pages)
 
 
+def test_tasks_of_chunks_grow_with_the_rows(spark, monkeypatch):
+    """However many partitions the session has, a task holds a bounded number of rows of large visitors."""
+    from pyspark.sql import functions as F
+
+    from vendue.operators import attribution
+
+    monkeypatch.setattr(attribution, "TASK_ROWS", 50)
+    seen = [("v", "s", at(m), 0, m, str(m), f"p{m}" if m % 3 else None) for m in range(1, 401)]
+    schema = "visitor_id string, session_id string, ts timestamp, is_cart int, visit_id bigint, tie string, page string"
+    frame = spark.createDataFrame(seen, schema)
+    windows = attribution._ChunkWindows(7)
+    rows = windows.timeline(frame, frame.limit(0))
+    found = windows.running_last(rows, {"before": F.col("page")}, strict=True)
+    assert found.rdd.getNumPartitions() >= 8
+    expected = [(m, None if m == 1 else f"p{m - 1 if (m - 1) % 3 else m - 2}") for m in range(1, 401)]
+    assert sorted((r["visit_id"], r["before"]) for r in found.collect()) == expected
+
+
 def test_click_area_order(spark):
     from pyspark.sql import functions as F
 

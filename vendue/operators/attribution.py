@@ -25,6 +25,9 @@ CART_KEYS = ["site_no", "item_id", "option_id", "master_cart_id", "cart_id", "re
 MAX_CHUNKS = 100_000
 CHUNK_ROWS = 50_000
 
+# Rows that a task sorts when it reads values off chunks; a row holds several pages.
+TASK_ROWS = 50_000
+
 
 def cart_groups(carts: DataFrame) -> DataFrame:
     """One row per cart line: newest time, summed quantity."""
@@ -125,49 +128,56 @@ class _ChunkWindows:
 
     def __init__(self, chunk_rows: int):
         self.chunk_rows = chunk_rows
+        self.tasks = 1
 
     def timeline(self, visits: DataFrame, carts: DataFrame) -> DataFrame:
         rest = [c for c in visits.columns if c not in (*KEYS, "ts")]
-        last = visits.groupBy(*KEYS, "ts").agg(F.max_by(F.struct(*rest), F.struct("visit_id", "tie")).alias("_last"))
+        # dealt first: aggregating structs sorts all rows of a task, and a task that scans has as many as its files
+        dealt = visits.repartition(*KEYS, "ts", "visit_id")
+        last = dealt.groupBy(*KEYS, "ts").agg(F.max_by(F.struct(*rest), F.struct("visit_id", "tie")).alias("_last"))
         kept = last.select(*KEYS, "ts", "_last.*").select(*visits.columns)
         numbered = number_rows(kept.unionByName(carts), [(c, "asc") for c in [*KEYS, *SORT]], "_rn")
-        size = max(self.chunk_rows, numbered.count() // MAX_CHUNKS + 1)
+        rows = numbered.count()
+        size = max(self.chunk_rows, rows // MAX_CHUNKS + 1)
+        self.tasks = max(1, -(-rows // TASK_ROWS))
         return pin(numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / size)))
 
     def running_last(self, rows: DataFrame, values: Mapping[str, Column], strict: bool) -> DataFrame:
-        local = (
-            Window.partitionBy("_chunk")
-            .orderBy("_rn")
-            .rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-        )
         # one row per chunk, at most MAX_CHUNKS
         earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        tagged = rows.withColumns(
-            {f"_{n}": F.when(v.isNotNull(), F.struct(*KEYS, v.alias("v"))) for n, v in values.items()}
-        )
-        ends = tagged.groupBy("_chunk").agg(
-            *[F.max_by(f"_{n}", F.when(F.col(f"_{n}").isNotNull(), F.col("_rn"))).alias(f"_end_{n}") for n in values]
+        ends = rows.groupBy("_chunk").agg(
+            F.min_by(F.struct(*KEYS), "_rn").alias("_first"),
+            *[
+                F.max_by(F.struct(*KEYS, v.alias("v")), F.when(v.isNotNull(), F.col("_rn"))).alias(f"_end_{n}")
+                for n, v in values.items()
+            ],
         )
         carried = ends.select(
-            "_chunk", *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values]
-        )
-        found = tagged.join(carried, "_chunk", "left").withColumns(
-            {
-                f"_found_{n}": F.coalesce(
-                    F.last(f"_{n}", ignorenulls=True).over(local), F.col(f"_carried_{n}")
-                )
-                for n in values
-            }
+            "_chunk",
+            "_first",
+            *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values],
         )
 
         def own(name: str) -> Column:
             # a value of the visitor before is none of this visitor's
-            value = F.col(f"_found_{name}")
-            same = reduce(lambda a, b: a & b, [value[k].eqNullSafe(F.col(k)) for k in KEYS])
+            value = F.col(f"_carried_{name}")
+            same = reduce(lambda a, b: a & b, [value[k].eqNullSafe(F.col("_first")[k]) for k in KEYS])
             return F.when(same, value["v"])
 
-        out = found.withColumns({n: own(n) for n in values})
-        return pin(out.drop(*[f"{p}_{n}" for p in ("", "_end", "_carried", "_found") for n in values]))
+        # what a chunk takes over is a row before its first one
+        starts = carried.select(
+            "_chunk", "_first.*", F.lit(0).cast("bigint").alias("_rn"), *[own(n).alias(f"_own_{n}") for n in values]
+        )
+        every = rows.withColumns({f"_own_{n}": v for n, v in values.items()}).unionByName(starts, allowMissingColumns=True)
+        local = (
+            Window.partitionBy("_chunk", *KEYS)
+            .orderBy("_rn")
+            .rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+        )
+        found = every.repartition(self.tasks, "_chunk").withColumns(
+            {n: F.last(f"_own_{n}", ignorenulls=True).over(local) for n in values}
+        )
+        return pin(found.where(F.col("_rn") > 0).drop(*[f"_own_{n}" for n in values]))
 
 
 def _page(prefix: str, area: Column) -> Column:
