@@ -178,3 +178,31 @@ def test_both_scores_start_from_one_ranked_frame(spark):
     for score in (br.br_rank_score, br.br_norm_score):
         expected = score(frame)
         assert sorted(score(ranked).select(expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_segments_are_shuffled_by_item_once(spark):
+    """From counts to the cube rows move to their item and stay there; sums and item values as by hand."""
+    from vendue.plans import segments as sg
+
+    master = "item_id long, site_no string, brand_id string, sell_price long, category_id string"
+    items = spark.createDataFrame([(1, "a", "x", 5, "c1"), (1, "b", "y", 9, "c2"), (2, "a", "z", 3, "c1"), (2, "a", "z", 3, "c1")], master)
+    counts = spark.createDataFrame(
+        [(1, "a", "10", "20", 2, 1, 30), (1, "b", "", "20", 1, None, 5), (1, "a", "", "", 4, 2, -90), (2, "a", None, None, 1, 1, 7), (2, "b", "10", "20", 9, 9, 9)],
+        "item_id long, site_no string, gender string, age_band string, order_count long, click_count long, amount long",
+    )
+    cube = sg.segment_cube(sg.segment_frame(items, counts, spark.createDataFrame([(2,)], "item_id long")))
+    got = {tuple(r) for r in cube.select("grouping", "item_id", "gender", "age_band", "site_no", "sell_price", "brand_id", "event", "order_count", "click_count", "amount").collect()}
+    assert got == {
+        ("age_gender", 1, "10", "20", "a", 5, "", "N", 2, 1, 30),
+        ("gender", 1, "10", "", "a", 5, "", "N", 2, 1, 30),
+        ("age", 1, "", "20", "b", 9, "", "N", 3, 1, 35),
+        ("all", 1, "", "", "b", 9, "y", "N", 7, 3, 35),
+        ("all", 2, "", "", "a", 3, "", "Y", 2, 2, 14),
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sg.segment_cube(sg.segment_frame(items, counts, items.select("item_id")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3  # counts, items and event items

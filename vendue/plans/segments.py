@@ -44,25 +44,23 @@ def segment_frame(items: DataFrame, counts: DataFrame, events: DataFrame) -> Dat
     ``counts`` are those of ``br_counts`` by gender and age band. Item master
     values reach only the blank segment, as in the shop's own frame.
     """
-    items = pin(items)
-    known = items.select("item_id", "site_no", "category_id", "sell_price")
-    blank = items.select(
-        "item_id", "site_no", "sell_price", "brand_id", "category_id",
-        F.lit("").alias("gender"), F.lit("").alias("age_band"),
-        *[F.lit(None).cast("bigint").alias(c) for c in FEATURES],
+    masters = ["site_no", "sell_price", "brand_id", "category_id"]
+    # one row per item with its sites: all that follows is by item, so counts are shuffled once
+    known = items.groupBy("item_id").agg(
+        F.collect_list(F.struct("site_no", "sell_price", "category_id")).alias("_sites"),
+        *[F.max(c).alias(f"_item_{c}") for c in masters],
     )
-    counted = counts.join(known, ["item_id", "site_no"]).select(
-        "item_id", "site_no", "sell_price", F.lit("").alias("brand_id"), "category_id",
-        "gender", "age_band", *FEATURES,
+    own = F.filter("_sites", lambda site: site["site_no"] == F.col("site_no"))
+    counted = counts.join(known, "item_id").select(
+        "item_id", "site_no", F.lit("").alias("brand_id"), "gender", "age_band", *FEATURES,
+        *[f"_item_{c}" for c in masters], F.explode(own).alias("_own"),
     )
+    counted = counted.withColumns({c: F.col("_own")[c] for c in ("sell_price", "category_id")})
+    blank = (F.col("gender") == "") & (F.col("age_band") == "")
     raw = (
-        blank.unionByName(counted)
-        .groupBy("item_id", "gender", "age_band")
+        counted.groupBy("item_id", "gender", "age_band")
         .agg(
-            F.max("site_no").alias("site_no"),
-            F.max("sell_price").alias("sell_price"),
-            F.max("brand_id").alias("brand_id"),
-            F.max("category_id").alias("category_id"),
+            *[F.max(F.when(blank, F.greatest(c, f"_item_{c}")).otherwise(F.col(c))).alias(c) for c in masters],
             F.sum("order_count").alias("order_count"),
             F.sum("click_count").alias("click_count"),
             floor_zero(F.sum("amount")).alias("amount"),
@@ -79,36 +77,28 @@ def segment_cube(frame: DataFrame) -> DataFrame:
     ``grouping`` is age_gender, gender, age or all; segments with a blank code are
     dropped from the groupings that use that code.
     """
-    item, gender, age = F.col("item_id"), F.col("gender"), F.col("age_band")
-    cubed = (
-        frame.groupingSets([[item, gender, age], [item, gender], [item, age], [item]], item, gender, age)
-        .agg(
-            F.grouping("gender").alias("_no_gender"),
-            F.grouping("age_band").alias("_no_age"),
-            F.max("site_no").alias("site_no"),
-            F.max("sell_price").alias("sell_price"),
-            F.max("brand_id").alias("brand_id"),
-            F.max("category_id").alias("category_id"),
-            F.max("event").alias("event"),
-            *[F.sum(c).alias(c) for c in FEATURES],
-        )
-    )
-    no_gender, no_age = F.col("_no_gender") == 1, F.col("_no_age") == 1
-    label = (
-        F.when(no_gender & no_age, "all").when(no_gender, "age").when(no_age, "gender").otherwise("age_gender")
-    )
+    gender, age, none = F.col("gender"), F.col("age_band"), F.lit("")
+    segments = [("age_gender", gender, age), ("gender", gender, none), ("age", none, age), ("all", none, none)]
+    has_gender, has_age = gender != "", age != ""
+    wanted = [has_gender & has_age, has_gender, has_age, F.lit(True)]
+    # a row for each grouping; the item stays a column of its own, so rows stay where they are
+    each = [
+        F.when(there, F.struct(F.lit(label).alias("grouping"), who.alias("gender"), band.alias("age_band")))
+        for there, (label, who, band) in zip(wanted, segments, strict=True)
+    ]
+    rows = frame.withColumn("_segment", F.explode(F.array(*each))).where(F.col("_segment").isNotNull())
+    values = ["site_no", "sell_price", "brand_id", "category_id", "event"]
     return (
-        cubed.withColumn("grouping", label)
-        .where((no_gender | (F.col("gender") != "")) & (no_age | (F.col("age_band") != "")))
-        .withColumn("gender", F.when(no_gender, F.lit("")).otherwise(F.col("gender")))
-        .withColumn("age_band", F.when(no_age, F.lit("")).otherwise(F.col("age_band")))
-        .drop("_no_gender", "_no_age")
+        rows.select("item_id", "_segment.*", *values, *FEATURES)
+        .groupBy("item_id", "gender", "age_band", "grouping")
+        .agg(*[F.max(c).alias(c) for c in values], *[F.sum(c).alias(c) for c in FEATURES])
+        .select("item_id", "gender", "age_band", *values, *FEATURES, "grouping")
     )
 
 
 def segment_score(cube: DataFrame, bounds: str = "overall") -> DataFrame:
     """Weighted, scaled logs. Bounds come from the grouping ``all`` or from each grouping."""
-    logged = pin(log_scale(cube, FEATURES))
+    logged = log_scale(pin(cube), FEATURES)
     logs = [f"{c}_log" for c in FEATURES]
     if bounds == "overall":
         parts = [min_max_scale(logged, logs, feature_bounds(logged.where(F.col("grouping") == "all"), logs))]
