@@ -361,3 +361,14 @@ def test_equal_words_in_linear_time():
     found = decontaminate.scan(automaton, [words])
     assert found == [(100_000, [(0, 100_000)], ["i"])]
     assert time.perf_counter() - began < 10
+
+
+def test_texts_are_scanned_once(spark):
+    """The filter on covered documents uses what the scan found; it does not scan again."""
+    from vendue.llm import decontaminate
+
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "b c")], "item_id long, text string")
+    found = decontaminate.remove_spans(docs, items, window=2, percent=90)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 2  # the scan and the cut
+    assert sorted(map(tuple, found.collect())) == [(1, "a  d e"), (2, "x")]

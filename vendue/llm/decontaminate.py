@@ -239,7 +239,8 @@ def _scanner(data: bytes, window: int):
             out += scan(automaton, batch)
             yield pd.DataFrame(out, columns=["n_words", "hit_spans", "items"])
 
-    return F.pandas_udf(run, FOUND)
+    # else a filter on what was found would go below it and scan all texts a second time, in workers of its own
+    return F.pandas_udf(run, FOUND).asNondeterministic()
 
 
 def merge_spans(spans: list) -> list[tuple[int, int]]:
