@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from vendue.llm import best_fit_packing as packing
 from vendue.llm import common, decontaminate, hamming_join, queries, warc
@@ -125,6 +126,37 @@ def test_signature_distance_is_covered():
         assert set(keys[0]) & set(keys[1])
 
 
+@pytest.mark.parametrize("block", [32_768, 8])
+def test_popular_key_joins_near_classes_only(spark, monkeypatch, block):
+    """Of 60 classes with one key in common, far ones stay apart and near ones are joined, near the hub or not."""
+    monkeypatch.setattr(hamming_join, "BUCKET_BLOCK", block)
+    rng = np.random.default_rng(4)
+    signatures = rng.integers(0, 2**16, (60, hamming_join.VALUES), dtype=np.uint16)
+    signatures[:, : hamming_join.WIDTH] = 7
+    want = {}
+    for first in (20, 40):  # chains, each class near to the one before
+        for i in range(first, first + 10):
+            signatures[i] = signatures[i - 1]
+            signatures[i, rng.choice(np.arange(4, 64), 20, replace=False)] ^= 1
+            want |= {i - 1: first - 1, i: first - 1}
+    signatures[51:55] = signatures[50]
+    sizes = [100] * 50 + [1000, 800, 790, 600, 1300] + [100] * 5
+    want |= {50: 50, 51: 50, 52: 50}  # 53 and 54 are equal to these but too different in size
+    rows = [(i, sizes[i], signatures[i].astype("<u2").tobytes()) for i in range(60)]
+    classes = spark.createDataFrame(rows, "node long, n long, sig binary")
+    edges = hamming_join._candidates(classes, 80)
+    assert {r["node"]: r["label"] for r in common.components(edges).collect()} == want
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 15])
+def test_bitmap_passes_all_wanted(spark, monkeypatch, bits):
+    monkeypatch.setattr(hamming_join, "MOST_BITS", bits)
+    hashes = spark.range(6000).select(F.xxhash64("id").alias("text_hash"))
+    passes = hamming_join._passing(hashes)
+    found = spark.range(12000).where(passes(F.xxhash64("id"))).agg(F.sum((F.col("id") < 6000).cast("int")), F.count("*")).first()
+    assert found[0] == 6000 and found[1] < (6800 if bits > 1 << 17 else 8000)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (12, 11), (30, 30), (None, 4), *((100, i) for i in range(101, 140))]
     frame = spark.createDataFrame(edges, "a long, b long")

@@ -4,21 +4,22 @@ Documents with equal shingle sets form one class. A class has a signature of ``C
 ``WIDTH`` values of 16 bits. Two signatures that differ in fewer than ``CHUNKS * (ERRORS + 1)``
 values have, by pigeonhole, a chunk with at most ``ERRORS`` errors; every allowed set of
 errors in a chunk is enumerated as a key of the values that remain, so all such pairs share
-a key. Keys with few classes give pairs, keys with many give a star around one of them;
-both are joined to clusters, and inside clusters links are confirmed on full shingle sets.
+a key. Pairs whose signatures are near become edges: all pairs of a key with few classes; of a
+key with many those to one of its classes, and then only pairs that are not connected yet. Edges
+make clusters, and inside clusters links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendue.llm.common import components, raw_bytes, small_batches, stored
+from vendue.llm.common import components, raw_bytes, removed, small_batches, stored
 
 #: 16 chunks of 4 values with one error each: every pair with up to 31 of 64 values apart is
 #: found. At a similarity of 0.8 one pair in ten million is further apart than that.
@@ -26,10 +27,10 @@ CHUNKS, WIDTH, ERRORS = 16, 4, 1
 VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * (ERRORS + 1) - 1
 
-#: Keys with more classes than this give a star in place of all pairs.
+#: Pairs of a key with more classes than this are compared in a task of their own, without those that are connected already.
 PAIRED_BUCKET = 8
-#: Classes whose keys a task puts together before they are shuffled.
-HELD_CLASSES = 4_000
+#: Classes of a key that are compared in one task; a key with more is compared in pairs of blocks.
+BUCKET_BLOCK = 32_768
 
 #: Shingles that are confirmed together in one task.
 BLOCK_SHINGLES = 1_000_000
@@ -38,6 +39,8 @@ PIVOTS = 16
 
 #: Candidates may be broadcast up to this many rows of 24 bytes; beyond it they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: What a bitmap lets through is shuffled for that: 16 bits for each candidate, 16 MB at most.
+BITS_EACH, MOST_BITS, BITMAP_SLICE = 16, 1 << 27, 1 << 15
 
 WORD_BYTES = 4_000_000
 _RANDOM = np.random.default_rng(20240101)
@@ -127,71 +130,88 @@ def _classes(rows: DataFrame) -> DataFrame:
     )
 
 
-def held_keys(node: np.ndarray, n: np.ndarray, signatures: np.ndarray) -> pd.DataFrame:
-    """``key, node, n, gone, hub``: keys of some classes, at most ``PAIRED_BUCKET`` rows a key.
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.count_nonzero(x != y, axis=1)
 
-    Of a key with more classes the smallest stay, the first of them with the number of those that went. The others
-    are rows with this one as their hub, each under its own number in place of a key. ``hub`` is -1 for rows with a key.
+
+def near_links(node: np.ndarray, label: np.ndarray, n: np.ndarray, signatures: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Near pairs of classes that the labels don't connect yet, enough of them to connect what near pairs connect.
+
+    Labels are numbers of groups known to be connected. A class is compared with all larger classes
+    within the size bound that are in another group.
     """
-    keys = chunk_keys(signatures)
-    who = np.repeat(np.arange(len(node)), keys.shape[1])
-    keys = keys.ravel()
-    order = np.lexsort((node[who], n[who], keys))
-    keys, who = keys[order], who[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sizes = np.diff(np.r_[first, len(keys)])
-    rank = np.arange(len(keys)) - np.repeat(first, sizes)
-    gone = np.where(rank == 0, np.repeat(np.maximum(sizes - PAIRED_BUCKET, 0), sizes), 0)
-    kept = rank < PAIRED_BUCKET
-    rows = pd.DataFrame({"key": keys[kept], "node": node[who[kept]], "n": n[who[kept]], "gone": gone[kept], "hub": -1})
-    far = pd.DataFrame({"node": node[who[~kept]], "hub": node[np.repeat(who[first], sizes)[~kept]]}).drop_duplicates()
-    return pd.concat([rows, far.assign(key=far["node"], n=0, gone=0)[rows.columns]])
+    order = np.argsort(n, kind="stable")
+    sizes, group, own = n[order], _roots(label)[order], signatures[order]
+    links = []
+    for i in range(len(order)):
+        stop = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
+        other = np.flatnonzero(group[i + 1 : stop] != group[i]) + i + 1
+        if not len(other):
+            continue
+        for j in other[_apart(own[other], own[i]) <= MOST_APART]:
+            if group[j] != group[i]:
+                links.append((int(node[order[i]]), int(node[order[j]])))
+                group[group == group[j]] = group[i]
+    return links
+
+
+def _values(signatures: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), "<u2").reshape(-1, VALUES)
+
+
+def _near_links(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` from rows ``key, node, n, members, label, sig`` of the classes of popular keys."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        found = near_links(part["node"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), _values(part["sig"]), percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    blocks = F.ceil(F.col("members") / F.lit(BUCKET_BLOCK)).cast("long")
+    rows = rows.withColumns({"mine": F.pmod(F.xxhash64("node"), blocks), "other": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
+    rows = rows.select("key", "node", "n", "label", "sig", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
+    return rows.groupBy("key", "p", "q").applyInPandas(run, "a long, b long")
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """``a, b``: edges that put all pairs of classes under the signature distance into one cluster.
 
-    Keys are made and shuffled once; a key that many classes share comes from each task with a few rows.
+    Keys are made and shuffled once. Every edge is a pair under the distance, so classes that only share a
+    key with the same others stay in clusters of their own.
     """
 
     def keys_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, rows = [], 0
-
-        def flush() -> pd.DataFrame:
-            own = pd.concat(held)
-            sig = np.frombuffer(b"".join(own["sig"]), "<u2").reshape(-1, VALUES)
-            return held_keys(own["node"].to_numpy(), own["n"].to_numpy(), sig)
-
         for part in parts:
-            held.append(part)
-            rows += len(part)
-            if rows >= HELD_CLASSES:
-                yield flush()
-                held, rows = [], 0
-        if rows:
-            yield flush()
-
-    keys = classes.select("node", F.col("n").cast("long").alias("n"), "sig").mapInPandas(keys_of, "key long, node long, n int, gone int, hub long")
+            keys = chunk_keys(_values(part["sig"]))
+            yield pd.DataFrame({"key": keys.ravel()} | {c: np.repeat(part[c].to_numpy(), keys.shape[1]) for c in ("node", "n")})
+
+    keys = classes.select("node", F.col("n").cast("int").alias("n"), "sig").mapInPandas(keys_of, "key long, node long, n int")
     own = Window.partitionBy("key")
-    keys = keys.withColumns({"members": F.sum(1 + F.col("gone")).over(own), "first": F.min(F.struct("n", "node")).over(own)})
-    apart = F.col("hub") >= 0
-    members = keys.where((F.col("members") > 1) | apart).withColumn("hub", F.when(apart, F.col("hub")).otherwise(F.col("first.node")))
-    members = members.select("key", "node", "n", "members", "hub", (F.col("n") == 0).alias("apart"))
+    keys = keys.withColumns({"members": F.count("*").over(own), "hub": F.min(F.struct(F.xxhash64("node"), "node", "n")).over(own)})
+    members = keys.where("members > 1").select("key", "node", "n", "members", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     members = stored(members, "buckets")
-    few = members.where((F.col("members") <= PAIRED_BUCKET) & ~F.col("apart")).select("key", "node", "n")
+    few = members.where(F.col("members") <= PAIRED_BUCKET).select("key", "node", "n")
+    many = members.where(F.col("members") > PAIRED_BUCKET)
     left, right = few.toDF("key", "a", "na"), few.toDF("key", "b", "nb")
-    ordered = "(na < nb or na = nb and a < b)"
-    pairs = left.join(right, "key").where(f"{ordered} and 100L * na >= {percent}L * nb").select("a", "b").distinct()
+    ends = F.struct("n", "node"), F.struct(F.col("hub_n").alias("n"), F.col("hub").alias("node"))
+    stars = many.where("node <> hub").select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y")).select("x.node", "x.n", "y.node", "y.n")
+    pairs = left.join(right, "key").where("na < nb or na = nb and a < b").select("a", "na", "b", "nb").union(stars)
+    pairs = pairs.where(f"100L * na >= {percent}L * nb").select("a", "b").distinct()
     sig = classes.select("node", "sig")
 
     @F.pandas_udf("boolean")
     def near(x: pd.Series, y: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), "<u2").reshape(-1, VALUES) for s in (x, y))
-        return pd.Series((x != y).sum(axis=1) <= MOST_APART)
+        return pd.Series(_apart(_values(x), _values(y)) <= MOST_APART)
 
     pairs = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").where(near("sa", "sb")).select("a", "b")
-    stars = members.where(((F.col("members") > PAIRED_BUCKET) | F.col("apart")) & (F.col("node") != F.col("hub")))
-    return pairs.union(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    known = stored(components(pairs), "near")
+    # what the pairs have connected is not compared again, and a key whose classes are all connected not at all
+    many = many.join(known, "node", "left").select("key", "node", "n", "members", F.coalesce("label", "node").alias("label"))
+    many = stored(many, "popular")
+    mixed = many.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    links = stored(_near_links(many.join(mixed, "key").join(sig, "node"), percent), "near-links")
+    for done in (members, many):
+        removed(classes.sparkSession, done)
+    return known.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b")).union(links)
 
 
 def _roots(label: np.ndarray) -> np.ndarray:
@@ -245,29 +265,56 @@ def _blocks_of(shingles: str) -> F.Column:
     return F.ceil(F.col(shingles) / F.lit(BLOCK_SHINGLES)).cast("long")
 
 
+def _passing(hashes: DataFrame) -> Callable[[Column], Column]:
+    """A condition that holds for all of the hashes and for about one in 16 others."""
+    bits = min(MOST_BITS, max(BITMAP_SLICE, 1 << (BITS_EACH * hashes.count()).bit_length()))
+    place = F.pmod(F.col("text_hash"), F.lit(bits)) + 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("own"))
+    found = np.zeros(bits // 8, np.uint8)
+    for r in parts.collect():  # 16 MB at most
+        found[(r["slice"] - 1) * BITMAP_SLICE // 8 :][: BITMAP_SLICE // 8] = np.frombuffer(r["own"], np.uint8)
+    shared = hashes.sparkSession.sparkContext.broadcast(found)
+
+    @F.pandas_udf("boolean")
+    def passes(text_hash: pd.Series) -> pd.Series:
+        at = text_hash.to_numpy() & (bits - 1)
+        return pd.Series(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1)
+
+    return passes
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, text`` of the classes ``node, rep_id, text_hash``; other texts are not shuffled."""
+    docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    else:
+        docs = docs.where(_passing(wanted.select("text_hash"))("text_hash"))
+    texts = docs.join(wanted, "text_hash").where("doc_id <=> rep_id")
+    return texts.groupBy("node").agg(F.first("text").alias("text"))
+
+
 def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links ``a, b`` that connect all connected classes of each cluster."""
     clusters = clusters.withColumnRenamed("label", "cluster").join(classes.select("node", "n", "rep_id", "text_hash"), "node")
     clusters = stored(clusters, "clusters")
-    wanted = clusters.select("node", "rep_id", "text_hash")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text")).join(wanted, "text_hash").where("doc_id <=> rep_id")
 
     @F.pandas_udf("array<long>")
     def shingles(text: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, size).view(np.int64) for t in text], dtype=object)
 
-    once = texts.groupBy("node").agg(F.first("text").alias("text"))
-    sets = stored(once.select("node", shingles("text").alias("shingles")), "sets")
+    def with_sets(nodes: DataFrame) -> DataFrame:
+        """Sets are made from the texts where they are needed; they are twice as large."""
+        texts = _texts(docs, nodes.select("node", "rep_id", "text_hash"))
+        return nodes.drop("rep_id", "text_hash").join(texts, "node").withColumn("shingles", shingles("text")).drop("text")
 
     sums = clusters.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("classes"))
     sums = sums.withColumn("blocks", _blocks_of("all"))
-    placed = stored(clusters.select("node", "cluster", "n").join(sums, "cluster"), "placed")
+    placed = stored(clusters.join(sums, "cluster"), "placed")
     pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("classes")) < PIVOTS)
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     every = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(own))
-    inside = placed.select("node", F.col("node").alias("label"), "cluster", F.explode(every).alias("block")).join(sets, "node")
+    inside = with_sets(placed).select("node", F.col("node").alias("label"), "cluster", F.explode(every).alias("block"), "shingles")
     links = stored(_confirmed(inside, ["cluster", "block"], percent), "links")
     several = placed.where("blocks > 1")
     if several.isEmpty():
@@ -275,7 +322,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
     # What the blocks have not connected yet is compared across blocks. The largest connected
     # part of a cluster is not compared with itself.
     known = components(links).withColumnRenamed("label", "known")
-    parts = several.select("cluster", "node", "n").join(known, "node", "left").withColumn("label", F.coalesce("known", "node"))
+    parts = several.select("cluster", "node", "n", "rep_id", "text_hash").join(known, "node", "left").withColumn("label", F.coalesce("known", "node"))
     parts = stored(parts.drop("known"), "parts")
     main = parts.groupBy("cluster", "label").agg(F.sum("n").alias("size")).groupBy("cluster").agg(F.max_by("label", "size").alias("main"))
     parts = parts.join(main, "cluster").withColumn("in_main", F.col("label") == F.col("main"))
@@ -288,8 +335,9 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
     zero = F.lit(0).cast("long")
     mine = F.when(F.col("in_main"), F.col("rests") + F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("node"), F.col("rests")))
     others = F.sequence(zero, F.when(F.col("in_main"), F.col("rests") - 1).otherwise(F.col("rests") + F.col("mains") - 1))
-    across = parts.withColumn("mine", mine).select("cluster", "node", "label", "mine", F.explode(others).alias("other"))
-    across = across.select("cluster", "node", "label", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).join(sets, "node")
+    parts = with_sets(stored(parts, "parts-across")).withColumn("mine", mine)
+    across = parts.select("cluster", "node", "label", "shingles", "mine", F.explode(others).alias("other"))
+    across = across.select("cluster", "node", "label", "shingles", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
     return links.union(stored(_confirmed(across, ["cluster", "p", "q"], percent), "links-across"))
 
 
@@ -321,9 +369,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     columns are not read. Every link is confirmed on full sets; pairs are missed only if their signatures
     are more than ``MOST_APART`` values apart.
 
-    Scale: classes, keys and buckets are counted before they are joined; a key that many classes
-    share gives one edge for each of them, never pairs. Confirming compares a cluster in blocks
-    of bounded size, and across blocks only what is not connected yet.
+    Scale: classes, keys and buckets are counted before they are joined; of a key that many classes
+    share, signatures are compared in blocks of bounded size, without those that are connected already.
+    Confirming compares a cluster in blocks of bounded size, and across blocks only what is not connected yet.
     """
     judged = _judged(docs, shingle_words, percent).drop("text_hash", "label")
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
