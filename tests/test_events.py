@@ -1,6 +1,7 @@
 """Payload flattening on hand-made events."""
 
 import json
+import random
 
 from vendue.plans import events as ev
 
@@ -68,3 +69,32 @@ def test_ad_contribution(spark, rows):
     df = df.withColumns({"order_ts": F.lit("2024-01-01 10:00:30").cast("timestamp"), "cart_ts": F.lit(None).cast("timestamp")})
     assert rows(ev.ad_contribution(df), "target_id", "extension_code", "device_code", "sales_amount") == [
         ("1234567890", "10", "10", 1000), ("1234567890", "10", "20", 1000), ("1234567890", "30", "30", 1000)]
+
+
+def test_merge_page_sets_joins_reduced_lists(spark, monkeypatch):
+    """Rows with nulls in every column against all pairs; a page of many rows meets the join in a few."""
+    rng = random.Random(6)
+    names = ["kind", "mall", "url", "param", "device", "shop", "shop_detail", "day"]
+    some = lambda *of: rng.choice((None, *of))
+
+    def pages(n):
+        return [(some(1, 2), some("m", "n"), some("u", "v"), some("", "p"), some("pc", "app"), some("a", "b", "c"), some("d", "e"), some("x", "y")) for _ in range(n)]
+
+    left, right = pages(300) + [(1, "m", "hot", "p", "pc", "a", None, "x")] * 200, pages(250) + [(1, "n", "hot", "p", "pc", "b", "e", "y")] * 300
+    pairs, used = [], set()
+    for a in left:
+        own = [(k, b) for k, b in enumerate(right) if a[2:5] == b[2:5] and None not in a[2:5]]
+        used |= {k for k, _ in own}
+        pairs += [tuple(y if x is None else x for x, y in zip(a, b, strict=True)) for _, b in own] or [a]
+    pairs += [b for k, b in enumerate(right) if k not in used]
+    expected = {}
+    for p in pairs:
+        old = expected.get(p[:5], (None,) * 3)
+        expected[p[:5]] = tuple(max((v for v in both if v is not None), default=None) for both in zip(old, p[5:], strict=True))
+    joined = []
+    merge = ev.merge_full
+    monkeypatch.setattr(ev, "merge_full", lambda a, b, *more: joined.append((a, b, out := merge(a, b, *more))) or out)
+    schema = ", ".join(f"{c} {'int' if c == 'kind' else 'string'}" for c in names)
+    found = ev.merge_page_sets(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).select(names).collect()
+    assert {tuple(r)[:5]: tuple(r)[5:] for r in found} == expected and len(found) == len(expected)
+    assert [f.where("url = 'hot'").count() for f in joined[0]] == [1, 1, 1]

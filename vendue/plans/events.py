@@ -219,12 +219,17 @@ def merge_full(a: DataFrame, b: DataFrame, keys: Sequence[str], values: Sequence
 
 
 def merge_page_sets(page_sets: DataFrame, special: DataFrame) -> DataFrame:
-    """Two page lists merged on url, parameter and device; one sorted row per page."""
-    merged = merge_full(
-        page_sets, special, ["url", "param", "device"], ["kind", "mall", "shop", "shop_detail", "day"]
-    )
+    """Two page lists merged on url, parameter and device; one sorted row per page.
+
+    Of every value the greatest counts, so each list is reduced before the join, which pairs all rows of a
+    page. Rows of the first list with a value and rows without one stay apart, as the other list fills those only.
+    """
+    page, values = ["kind", "mall", "url", "param", "device"], ["shop", "shop_detail", "day"]
+    greatest = [F.max(c).alias(c) for c in values]
+    first = page_sets.groupBy(*page, *[F.isnull(c).alias(f"_no_{c}") for c in values]).agg(*greatest)
+    merged = merge_full(first, special.groupBy(*page).agg(*greatest), ["url", "param", "device"], ["kind", "mall", *values])
     return (
-        merged.groupBy("kind", "mall", "url", "param", "device")
-        .agg(F.max("shop").alias("shop"), F.max("shop_detail").alias("shop_detail"), F.max("day").alias("day"))
+        merged.groupBy(*page)
+        .agg(*greatest)
         .orderBy("kind", "mall", "shop", "shop_detail", F.col("device").desc(), "url", "param")
     )
