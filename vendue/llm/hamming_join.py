@@ -283,15 +283,18 @@ def _passing(hashes: DataFrame) -> Callable[[Column], Column]:
     return passes
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, text`` of the classes ``node, rep_id, text_hash``; other texts are not shuffled."""
-    docs = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    else:
-        docs = docs.where(_passing(wanted.select("text_hash"))("text_hash"))
-    texts = docs.join(wanted, "text_hash").where("doc_id <=> rep_id")
-    return texts.groupBy("node").agg(F.first("text").alias("text"))
+def _with_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows ``node, rep_id, text_hash, ...`` with their ``text``; it is shuffled once, and other texts are not."""
+    keys = ["text_hash", "id", "no_id"]
+    docs = docs.select(F.xxhash64("text").alias("text_hash"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.isnull("doc_id").alias("no_id"), "text")
+    nodes = nodes.withColumns({"id": F.coalesce("rep_id", F.lit(0)), "no_id": F.isnull("rep_id")}).drop("rep_id")
+    if nodes.count() <= BROADCAST_ROWS:
+        texts = docs.join(F.broadcast(nodes.select("node", *keys)), keys).groupBy("node").agg(F.first("text").alias("text"))
+        return nodes.drop(*keys).join(texts, "node")
+    texts = docs.where(_passing(nodes.select("text_hash"))("text_hash")).join(nodes, keys)
+    # grouped by the keys as well, so what the join has dealt out stays where it is
+    rest = [c for c in nodes.columns if c not in ("node", *keys)]
+    return texts.groupBy(*keys, "node").agg(*[F.first(c).alias(c) for c in (*rest, "text")]).drop(*keys)
 
 
 def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
@@ -305,8 +308,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, size: int,
 
     def with_sets(nodes: DataFrame) -> DataFrame:
         """Sets are made from the texts where they are needed; they are twice as large."""
-        texts = _texts(docs, nodes.select("node", "rep_id", "text_hash"))
-        return nodes.drop("rep_id", "text_hash").join(texts, "node").withColumn("shingles", shingles("text")).drop("text")
+        return _with_texts(docs, nodes).withColumn("shingles", shingles("text")).drop("text")
 
     sums = clusters.groupBy("cluster").agg(F.sum("n").alias("all"), F.count("*").alias("classes"))
     sums = sums.withColumn("blocks", _blocks_of("all"))
