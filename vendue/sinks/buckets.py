@@ -59,7 +59,7 @@ class BucketStore:
         """Files of each bucket that readers see now."""
         newest = self._newest(name)
         out: dict[int, list[str]] = {}
-        for path in self._read(name, newest).inputFiles() if newest else ():
+        for path in sorted(self._read(name, newest).inputFiles()) if newest else ():  # Spark gives them in any order
             out.setdefault(int(os.path.basename(os.path.dirname(path)).split("=")[1]), []).append(path)
         return out
 
